@@ -13,10 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The blanks of Unicode text, word characters (letters, numbers, underscore) and
-# decimal digits.
-BLANKS = (
-    r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
+# decimal digits. Blanks are named by property, which Java tests much faster than a list of ranges.
+BLANKS = r"\s\x1c-\x1f\x{85}\p{Z}"
 WORD_CHARS = r"\p{L}\p{N}_"
 UNICODE_BLANK_RUN = f"[{BLANKS}]+"
 ASCII_BLANK_RUN = r"\s+"

@@ -122,43 +122,27 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """
     if not 0 < bins <= 1_000_000:
         raise ValueError("bins must be between 1 and 1000000")
-    x = _number(df, column)
-    values = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    single = F.min("x") == F.max("x")
-    span = values.agg(
-        F.struct(
-            F.when(single, F.min("x") - 0.5).otherwise(F.min("x")).alias("low"),
-            F.when(single, F.max("x") + 0.5).otherwise(F.max("x")).alias("high"),
-        ).alias("span")
-    ).scalar()
-    low = span.getField("low")
-    width = (span.getField("high") - low) / bins
-    placed = (
-        values.select("x", low.alias("low"), width.alias("width"))
-        .withColumn(
-            "guess", F.least(F.floor((F.col("x") - F.col("low")) / F.col("width")), F.lit(bins - 1))
-        )
-        .withColumn("left", F.col("low") + F.col("guess") * F.col("width"))
-        .withColumn("right", F.col("low") + (F.col("guess") + 1) * F.col("width"))
-        .select(
-            F.when(F.col("x") < F.col("left"), F.col("guess") - 1)
-            .when((F.col("x") >= F.col("right")) & (F.col("guess") < bins - 1), F.col("guess") + 1)
-            .otherwise(F.col("guess"))
-            .alias("bin")
-        )
+    values = df.select(_number(df, column).alias("x"))
+    span = values.agg(F.min("x").alias("low"), F.max("x").alias("high")).first()
+    schema = "bin bigint, left double, right double"
+    if span.low is None:
+        return df.sparkSession.createDataFrame([], schema + ", count bigint")
+    low, high = (span.low, span.high) if span.low < span.high else (span.low - 0.5, span.low + 0.5)
+    width = (high - low) / bins
+    guess = F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1))
+    left, right = low + F.col("bin") * width, low + (F.col("bin") + 1) * width
+    step = (
+        F.when(F.col("x") < left, -1)
+        .when((F.col("x") >= right) & (F.col("bin") < bins - 1), 1)
+        .otherwise(0)
     )
+    placed = values.withColumn("bin", guess).select((F.col("bin") + step).alias("bin"))
     counts = placed.groupBy("bin").agg(F.count("*").alias("count"))
-    grid = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
-    return (
-        grid.join(F.broadcast(counts), "bin", "left")
-        .select("bin", F.coalesce("count", F.lit(0)).alias("count"), low.alias("low"), width.alias("width"))
-        .filter(F.col("low").isNotNull())
-        .select(
-            "bin",
-            (F.col("low") + F.col("bin") * F.col("width")).alias("left"),
-            (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("right"),
-            "count",
-        )
+    edges = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    grid = edges.select("bin", left.alias("left"), right.alias("right"))
+    # One row per bin at most, plus one for missing values.
+    return grid.join(F.broadcast(counts), "bin", "left").select(
+        "bin", "left", "right", F.coalesce("count", F.lit(0)).alias("count")
     )
 
 

@@ -49,7 +49,9 @@ def split_exact(
     if size <= 0 or size >= rows:
         everything, nothing = df, df.limit(0)
         return (everything, nothing) if size <= 0 else (nothing, everything)
-    hit = order_statistics(keys.select("leading"), {"leading": [size - 1]}, {"leading": rows})
+    hit = order_statistics(
+        keys.select("leading"), {"leading": [size - 1]}, {"leading": rows}, uniform=(0.0, 2.0**48)
+    )
     place = hit["leading", size - 1]
     tied = (
         keys.filter(F.col("leading") == place.value)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,15 @@ class Bracket:
     value: float | None = None
     strictly_below: int = 0
 
+    @property
+    def share(self) -> float:
+        """The wanted rank as a share of the rows inside."""
+        return (self.rank - self.below + 0.5) / self.inside
+
+    @property
+    def span(self) -> tuple:
+        return self.column, self.low, self.high
+
     def rows(self) -> Column:
         x = F.col(self.column)
         test = x.isNotNull() & ~F.isnan(x)
@@ -55,15 +65,25 @@ class Bracket:
             self.low, self.below, self.inside = b, self.below + passed, self.inside - passed
 
 
+Edges = list[tuple[float, float]]
+Guess = Callable[[DataFrame, list[Bracket]], Edges]
+
+
 def order_statistics(
-    df: DataFrame, ranks: Mapping[str, Sequence[int]], sizes: Mapping[str, int]
+    df: DataFrame,
+    ranks: Mapping[str, Sequence[int]],
+    sizes: Mapping[str, int],
+    uniform: tuple[float, float] | None = None,
 ) -> dict[tuple[str, int], Bracket]:
     """Values at zero-based ranks of double columns, nulls and NaN aside.
 
-    ``sizes`` is the number of values per column. Each round narrows every open bracket with two
-    aggregations: approximate percentiles just around the rank, then exact counts. A round shrinks
-    a bracket about 3000-fold, and a value that fills a bracket (a hot key) is split off at once,
-    so 10^12 rows take two rounds and the last step gathers at most ``BLOCK`` values per rank.
+    ``sizes`` is the number of values per column. Each round guesses two edges just around the
+    rank, counts exactly on both sides of them and keeps the part that holds the rank. The guess
+    only decides the speed: a wrong one still leaves a smaller bracket, and a value that fills a
+    bracket (a hot key) is split off at once. Edges come from approximate percentiles, about
+    3000-fold closer per round, or, for values known to be ``uniform`` over a range, from their
+    rank alone. So 10^12 rows take two rounds, and the last step gathers at most ``BLOCK`` values
+    per rank.
     """
     found = {
         (name, rank): Bracket(name, rank, sizes[name])
@@ -73,45 +93,83 @@ def order_statistics(
     for bracket in found.values():
         if not 0 <= bracket.rank < bracket.inside:
             raise ValueError(f"rank {bracket.rank} is outside column {bracket.column}")
+    trials = 0
     while wide := [b for b in found.values() if b.value is None and b.inside > BLOCK]:
-        _narrow(df, wide)
+        # Values that prove to be less even than promised are left to the percentiles.
+        trials += 1
+        guess = _uniform_edges(*uniform) if uniform and trials <= 3 else _percentile_edges
+        _narrow(df, wide, guess(df, wide))
     if last := [b for b in found.values() if b.value is None]:
         _settle(df, last)
     return found
 
 
-def _narrow(df: DataFrame, brackets: list[Bracket]) -> None:
+def _percentile_edges(df: DataFrame, brackets: list[Bracket]) -> Edges:
+    """Approximate percentiles around each rank; brackets with one span share an aggregate."""
     margin = 1.5 / ACCURACY
-    guesses = []
+    wanted: dict[tuple, list[float]] = {}
+    places = []
     for bracket in brackets:
-        share = (bracket.rank - bracket.below + 0.5) / bracket.inside
-        around = [max(0.0, share - margin), min(1.0, share + margin)]
-        inside = F.when(bracket.rows(), F.col(bracket.column))
-        guesses.append(F.percentile_approx(inside, around, ACCURACY))
-    edges = df.agg(*[guess.alias(f"g{i}") for i, guess in enumerate(guesses)]).first()
-    counts = []
-    for i, bracket in enumerate(brackets):
-        x, inside, (a, b) = F.col(bracket.column), bracket.rows(), edges[i]
+        shares = wanted.setdefault(bracket.span, [])
+        places.append((bracket.span, len(shares)))
+        shares += [max(0.0, bracket.share - margin), min(1.0, bracket.share + margin)]
+    spans = {span: f"g{i}" for i, span in enumerate(wanted)}
+    inside = {bracket.span: bracket.rows() for bracket in brackets}
+    guesses = [
+        F.percentile_approx(F.when(inside[span], F.col(span[0])), shares, ACCURACY).alias(spans[span])
+        for span, shares in wanted.items()
+    ]
+    row = df.agg(*guesses).first()
+    return [(row[spans[span]][at], row[spans[span]][at + 1]) for span, at in places]
+
+
+def _uniform_edges(start: float, stop: float) -> Guess:
+    """Six standard deviations around the place of the rank in evenly spread values."""
+
+    def edges(_: DataFrame, brackets: list[Bracket]) -> Edges:
+        found = []
+        for bracket in brackets:
+            low = start if bracket.low is None else bracket.low
+            width = (stop if bracket.high is None else bracket.high) - low
+            share = bracket.share
+            margin = 6 * math.sqrt(share * (1 - share) / bracket.inside) + 6 / bracket.inside
+            found.append(
+                (low + width * max(0.0, share - margin), low + width * min(1.0, share + margin))
+            )
+        return found
+
+    return edges
+
+
+def _narrow(df: DataFrame, brackets: list[Bracket], edges: Edges) -> None:
+    counts: dict[tuple, list[Column]] = {}
+    for bracket, (a, b) in zip(brackets, edges):
+        x, inside = F.col(bracket.column), bracket.rows()
         parts = [x < a, x == a, (x > a) & (x < b), (x == b) & F.lit(a != b)]
-        counts += [F.count_if(inside & part).alias(f"c{i}_{j}") for j, part in enumerate(parts)]
-    row = df.agg(*counts).first()
-    for i, bracket in enumerate(brackets):
-        bracket.narrow(*edges[i], *row[4 * i : 4 * i + 4])
+        counts[*bracket.span, a, b] = [F.count_if(inside & part) for part in parts]
+    row = df.agg(*[count.alias(f"c{i}") for i, count in enumerate(sum(counts.values(), []))]).first()
+    starts = {key: 4 * i for i, key in enumerate(counts)}
+    for bracket, (a, b) in zip(brackets, edges):
+        at = starts[*bracket.span, a, b]
+        bracket.narrow(a, b, *row[at : at + 4])
 
 
 def _settle(df: DataFrame, brackets: list[Bracket]) -> None:
-    picks = []
-    for i, bracket in enumerate(brackets):
-        values = F.array_sort(F.collect_list(F.when(bracket.rows(), F.col(bracket.column))))
-        picks.append(values.alias(f"v{i}"))
-    chosen = df.agg(*picks).select(
+    """Gather what is left of each span, at most ``BLOCK`` values, and pick by position."""
+    spans = {span: f"v{i}" for i, span in enumerate(dict.fromkeys(b.span for b in brackets))}
+    inside = {bracket.span: bracket.rows() for bracket in brackets}
+    values = df.agg(
         *[
-            F.struct(
-                F.get(f"v{i}", F.lit(b.rank - b.below)).alias("value"),
-                (F.array_position(f"v{i}", F.get(f"v{i}", F.lit(b.rank - b.below))) - 1).alias("at"),
-            )
-            for i, b in enumerate(brackets)
+            F.array_sort(F.collect_list(F.when(inside[span], F.col(span[0])))).alias(name)
+            for span, name in spans.items()
         ]
     )
-    for bracket, pick in zip(brackets, chosen.first()):
+    picks = []
+    for bracket in brackets:
+        name = spans[bracket.span]
+        value = F.get(name, F.lit(bracket.rank - bracket.below))
+        picks.append(
+            F.struct(value.alias("value"), (F.array_position(name, value) - 1).alias("at"))
+        )
+    for bracket, pick in zip(brackets, values.select(*picks).first()):
         bracket.settle(pick.value, bracket.below + pick.at)

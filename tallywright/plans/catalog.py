@@ -19,7 +19,7 @@ from tallywright.operators.clustering import (
     recompute_centroids,
 )
 from tallywright.plans import inputs, studies
-from tallywright.session import shared_path
+from tallywright.session import materialize, shared_path
 from tallywright.sources import (
     read_centroids,
     read_lines,
@@ -27,6 +27,7 @@ from tallywright.sources import (
     read_positional,
     read_seeds,
     read_table_csv,
+    spread,
     write_kv,
 )
 
@@ -164,7 +165,7 @@ def drop_null_rows(spark, sf_dir):
 
 @query
 def filter_nonempty(spark, sf_dir):
-    pieces = inputs.table(spark, sf_dir, "documents").select(
+    pieces = inputs.documents(spark, sf_dir).select(
         "doc_id", F.explode(F.split("text", " ")).alias("piece")
     )
     return columns.filter_nonempty(pieces, "piece")
@@ -181,8 +182,7 @@ def filter_class(spark, sf_dir):
 
 @query
 def tokenize_ws(spark, sf_dir):
-    documents = inputs.table(spark, sf_dir, "documents")
-    return text.tokenize_ws(documents, "text", keep=["doc_id"])
+    return text.tokenize_ws(inputs.documents(spark, sf_dir), "text", keep=["doc_id"])
 
 
 @query
@@ -458,7 +458,7 @@ def sample_seeds(spark, sf_dir):
 
 def _fit(spark, sf_dir, steps):
     return kmeans_fit(
-        inputs.points(spark, sf_dir),
+        spread(inputs.points(spark, sf_dir), "l_orderkey"),
         inputs.point_seeds(spark, sf_dir, SEEDS),
         steps,
         features=["px", "py"],
@@ -616,6 +616,7 @@ def predict_connections(spark, sf_dir):
 
 def _comment_rows(spark, sf_dir):
     ready = studies.prepare_comments(inputs.comments(spark, sf_dir).drop("doc_id"))
+    ready = materialize(ready, "comments")
     train, test = sampling.split_exact(ready, ["CONTENT", "CLASS"])
     fitted = features.fit_tfidf(ready, "CONTENT", 5000)
     return (

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywright.sources import spread
+
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 CONNECTION_FIELDS = {
     "duration": 0,
@@ -21,9 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, text)``; every use of the texts is heavy enough to deserve all task slots."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value``: one document per row."""
-    return table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    return documents(spark, sf_dir).select(F.col("text").alias("value"))
 
 
 def integers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,16 +108,16 @@ def connection_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("string"),
         label,
     )
-    return table(spark, sf_dir, "lineitem").select(text.alias("value"))
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(text.alias("value"))
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, CONTENT, CLASS, DATE, Column6)``; most rows have no class."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("CONTENT"))
+    texts = documents(spark, sf_dir).withColumnRenamed("text", "CONTENT")
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", F.col("toxic").cast("double").alias("CLASS")
     )
-    return documents.join(labels, "doc_id", "left").select(
+    return texts.join(labels, "doc_id", "left").select(
         "*",
         F.lit(None).cast("string").alias("DATE"),
         F.lit(None).cast("string").alias("Column6"),

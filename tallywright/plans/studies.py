@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallywright.operators import aggregates, columns, evaluation, features, models
 from tallywright.operators import profile, ranking, sampling, text
 from tallywright.operators.clustering import KMeansResult, kmeans_fit
+from tallywright.session import materialize
 from tallywright.sources import read_lines, read_points, read_positional, read_seeds, write_kv
 
 # Field positions of a connection record, and the words counted by default.
@@ -112,27 +113,24 @@ def study_ratings(
 ) -> dict[str, DataFrame]:
     """Averages, split comparison, grid search and recommendations of a ratings table."""
     spark = ratings.sparkSession
-    pairs = models.mean_ratings(ratings).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train, test = sampling.split_by_hash(pairs, models.RATING_KEY, 0.8)
-        search = models.tune_als(train, grid, folds)
-        best = models.best_params(search)
-        tuned = evaluation.regression_scores(models.predict_ratings(search, test), "rating").first()
-        listed = spark.createDataFrame([(user,) for user in users], "userId int")
-        known = listed.join(train.select("userId").distinct(), "userId", "left_semi")
-        return {
-            "describe": profile.describe_table(ratings),
-            "top_items": ranking.top_rated(ratings, "movieId", n=n),
-            "top_users": ranking.top_rated(ratings, "userId", n=n),
-            "splits": models.compare_splits(pairs),
-            "tuned": spark.createDataFrame(
-                [(int(best["rank"]), int(best["maxIter"]), float(best["regParam"]), tuned.rmse)],
-                "rank int, maxIter int, regParam double, rmse double",
-            ),
-            "recommendations": models.recommend_for_users(search.bestModel, known, n),
-        }
-    finally:
-        pairs.unpersist()
+    pairs = materialize(models.mean_ratings(ratings), "ratings")
+    train, test = sampling.split_by_hash(pairs, models.RATING_KEY, 0.8)
+    search = models.tune_als(train, grid, folds)
+    best = models.best_params(search)
+    tuned = evaluation.regression_scores(models.predict_ratings(search, test), "rating").first()
+    listed = spark.createDataFrame([(user,) for user in users], "userId int")
+    known = listed.join(train.select("userId").distinct(), "userId", "left_semi")
+    return {
+        "describe": profile.describe_table(ratings),
+        "top_items": ranking.top_rated(ratings, "movieId", n=n),
+        "top_users": ranking.top_rated(ratings, "userId", n=n),
+        "splits": models.compare_splits(pairs),
+        "tuned": spark.createDataFrame(
+            [(int(best["rank"]), int(best["maxIter"]), float(best["regParam"]), tuned.rmse)],
+            "rank int, maxIter int, regParam double, rmse double",
+        ),
+        "recommendations": models.recommend_for_users(search.bestModel, known, n),
+    }
 
 
 def read_connections(
@@ -212,7 +210,7 @@ def classify_comments(
     """
     if fit_on not in {"all", "train"}:
         raise ValueError("fit_on must be 'all' or 'train'")
-    ready = prepare_comments(comments).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = materialize(prepare_comments(comments), "comments")
     train_text, test_text = sampling.split_exact(ready, key)
     fitted = features.fit_tfidf(ready if fit_on == "all" else train_text, "CONTENT", max_features)
     train = fitted.vectors(train_text, "CONTENT").select("CLASS", "features")

@@ -2,7 +2,7 @@
 
 from tallywright.sources.points import centroid_rows, read_centroids, read_points, read_seeds
 from tallywright.sources.sinks import write_kv
-from tallywright.sources.text import read_lines, read_positional, read_table_csv
+from tallywright.sources.text import read_lines, read_positional, read_table_csv, spread
 
 __all__ = [
     "centroid_rows",
@@ -12,5 +12,6 @@ __all__ = [
     "read_positional",
     "read_seeds",
     "read_table_csv",
+    "spread",
     "write_kv",
 ]
