@@ -129,7 +129,8 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         return df.sparkSession.createDataFrame([], schema + ", count bigint")
     low, high = (span.low, span.high) if span.low < span.high else (span.low - 0.5, span.low + 0.5)
     width = (high - low) / bins
-    guess = F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1))
+    guess = F.floor((F.col("x") - low) / width)
+    guess = F.when(guess < bins, guess).when(F.col("x").isNotNull(), bins - 1)
     left, right = low + F.col("bin") * width, low + (F.col("bin") + 1) * width
     step = (
         F.when(F.col("x") < left, -1)
