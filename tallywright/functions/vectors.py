@@ -1,10 +1,10 @@
 """Nearest-centroid expressions.
 
 Two kernels give the same answer. With few centroids and few dimensions the distances are unrolled
-into plain arithmetic, which stays inside whole-stage codegen. Past that, unrolled code outgrows
-the JIT's method limit and higher-order array functions are evaluated element by element, so an
-Arrow-batched numpy kernel takes over (measured 3.5x faster than array functions and 17x faster
-than unrolled code on 64 dimensions and 8 centroids).
+into plain arithmetic, which stays inside whole-stage codegen. Past some 60 terms the generated
+method grows beyond what the JIT compiles and slows down tenfold, and array functions are evaluated
+element by element, so an Arrow-batched numpy kernel takes over. Measured on 2 million points: 10
+terms 0.60 s against 0.60 s, 64 terms 0.9 s against 0.7 s, 128 terms 9.2 s against 0.7 s.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-UNROLL_LIMIT = 128
+UNROLL_LIMIT = 32
 
 
 def with_nearest_unrolled(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-BLOCK = 50_000
+BLOCK = 10_000
 
 
 @dataclass
@@ -142,16 +142,52 @@ def _uniform_edges(start: float, stop: float) -> Guess:
 
 
 def _narrow(df: DataFrame, brackets: list[Bracket], edges: Edges) -> None:
-    counts: dict[tuple, list[Column]] = {}
-    for bracket, (a, b) in zip(brackets, edges):
-        x, inside = F.col(bracket.column), bracket.rows()
-        parts = [x < a, x == a, (x > a) & (x < b), (x == b) & F.lit(a != b)]
-        counts[*bracket.span, a, b] = [F.count_if(inside & part) for part in parts]
-    row = df.agg(*[count.alias(f"c{i}") for i, count in enumerate(sum(counts.values(), []))]).first()
-    starts = {key: 4 * i for i, key in enumerate(counts)}
+    """Count each column's values below and at every edge, then move the brackets.
+
+    A value falls into one cell between or on the sorted edges of its column, so a round is one
+    grouped count with a few cells per column, combined on the map side.
+    """
+    marks: dict[str, list[float]] = {}
+    for bracket, pair in zip(brackets, edges):
+        marks[bracket.column] = sorted({*marks.get(bracket.column, []), *pair})
+    columns = list(marks)
+    cells = F.array(
+        *[
+            F.struct(F.lit(i).alias("place"), _cell(F.col(name), marks[name]).alias("cell"))
+            for i, name in enumerate(columns)
+        ]
+    )
+    counted = (
+        df.select(F.inline(cells))
+        .filter(F.col("cell").isNotNull())
+        .groupBy("place", "cell")
+        .agg(F.count("*").alias("count"))
+        .collect()
+    )
+    counts = {(columns[row.place], row.cell): row["count"] for row in counted}
+    below = {}
+    for name, values in marks.items():
+        total = 0
+        for i, value in enumerate(values):
+            total += counts.get((name, 2 * i), 0)
+            below[name, value] = (total, total + counts.get((name, 2 * i + 1), 0))
+            total = below[name, value][1]
     for bracket, (a, b) in zip(brackets, edges):
-        at = starts[*bracket.span, a, b]
-        bracket.narrow(a, b, *row[at : at + 4])
+        # Rows of the bracket below an edge, and up to it.
+        (under, upto_a), (under_b, upto_b) = (
+            [min(max(n - bracket.below, 0), bracket.inside) for n in below[bracket.column, edge]]
+            for edge in (a, b)
+        )
+        between = max(under_b, upto_a) - upto_a
+        bracket.narrow(a, b, under, upto_a - under, between, upto_b - upto_a - between)
+
+
+def _cell(x: Column, marks: list[float]) -> Column:
+    """``2 i`` below mark i, ``2 i + 1`` on it, one more past the last; null for NaN."""
+    cell = F.when(x.isNull() | F.isnan(x), F.lit(None))
+    for i, mark in enumerate(marks):
+        cell = cell.when(x < mark, 2 * i).when(x == mark, 2 * i + 1)
+    return cell.otherwise(2 * len(marks))
 
 
 def _settle(df: DataFrame, brackets: list[Bracket]) -> None:

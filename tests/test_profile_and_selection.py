@@ -19,7 +19,7 @@ def numbers(spark):
     return spark.createDataFrame(pairs, "x double, y double").repartition(6).persist()
 
 
-@pytest.mark.parametrize("block", [10, 300, 50_000])
+@pytest.mark.parametrize("block", [10, 300, 10_000])
 def test_percentiles_equal_pandas_whatever_the_block(numbers, monkeypatch, block):
     monkeypatch.setattr(selection, "BLOCK", block)
     monkeypatch.setattr(selection, "ACCURACY", 50)
