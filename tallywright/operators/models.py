@@ -45,7 +45,9 @@ def fit_als(
 ) -> ALSModel:
     """Matrix factorisation of ``(userId, movieId, rating)``; unseen ids get no prediction.
 
-    ``blocks`` is the number of user and item blocks; by default as many as there are task slots.
+    ``blocks`` is the number of user and item blocks; by default as many as there are task slots,
+    within 10 to 1000. All ratings of one item are solved together, so average repeats first
+    (:func:`mean_ratings`): an item then holds at most one row per user.
     """
     return _als(train, seed, blocks).setParams(rank=rank, maxIter=max_iter, regParam=reg).fit(train)
 
@@ -175,7 +177,8 @@ def predict(model: Model, df: DataFrame) -> DataFrame:
 
 def _als(train: DataFrame, seed: int, blocks: int | None) -> ALS:
     ensure_checkpointing(train.sparkSession)
-    blocks = blocks or max(10, train.sparkSession.sparkContext.defaultParallelism)
+    slots = train.sparkSession.sparkContext.defaultParallelism
+    blocks = blocks or min(max(10, slots), 1000)
     return ALS(
         userCol="userId",
         itemCol="movieId",

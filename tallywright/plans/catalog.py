@@ -458,7 +458,7 @@ def sample_seeds(spark, sf_dir):
 
 def _fit(spark, sf_dir, steps):
     return kmeans_fit(
-        spread(inputs.points(spark, sf_dir), "l_orderkey"),
+        spread(inputs.points(spark, sf_dir), *inputs.LINE_KEY),
         inputs.point_seeds(spark, sf_dir, SEEDS),
         steps,
         features=["px", "py"],
@@ -532,12 +532,6 @@ def _ratings_split(spark, sf_dir):
     return sampling.split_by_hash(pairs, models.RATING_KEY, 0.8)
 
 
-def _finite(scored):
-    """Which pairs got a score, and that it is a number; its value depends on the library build."""
-    score = F.col("prediction").cast("double")
-    return scored.select("userId", "movieId", finite(score).alias("scored"))
-
-
 @query
 def mean_ratings(spark, sf_dir):
     return _rounded(models.mean_ratings(inputs.raw_ratings(spark, sf_dir)), "rating")
@@ -553,7 +547,16 @@ def fit_als(spark, sf_dir):
 @query
 def predict_ratings(spark, sf_dir):
     train, test = _ratings_split(spark, sf_dir)
-    return _finite(models.predict_ratings(models.fit_als(train), test))
+    return models.predict_ratings(models.fit_als(train), test)
+
+
+@query
+def predicted_pairs(spark, sf_dir):
+    """Which test pairs get a finite score: those whose user and item were both seen."""
+    train, test = _ratings_split(spark, sf_dir)
+    scored = models.predict_ratings(models.fit_als(train), test)
+    score = F.col("prediction").cast("double")
+    return scored.select("userId", "movieId", finite(score).alias("scored"))
 
 
 @query
@@ -569,7 +572,7 @@ def _search(train):
 @query
 def tune_als(spark, sf_dir):
     train, test = _ratings_split(spark, sf_dir)
-    return _finite(models.predict_ratings(_search(train), test))
+    return models.predict_ratings(_search(train), test)
 
 
 @query

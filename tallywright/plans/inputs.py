@@ -108,7 +108,7 @@ def connection_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("string"),
         label,
     )
-    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(text.alias("value"))
+    return spread(table(spark, sf_dir, "lineitem"), *LINE_KEY).select(text.alias("value"))
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -335,8 +335,7 @@ ORACLES: dict[str, str] = {
     "mean_ratings": f"with {RATINGS} select userId, movieId, round(avg(rating), 6) as rating "
     "from ratings group by 1, 2",
     "fit_als": f"with {TRAIN_TEST} select distinct movieId, 10::int as rank from train",
-    "predict_ratings": SCORED,
-    "tune_als": SCORED,
+    "predicted_pairs": SCORED,
     "rmse": f"with {PAIRS.format(n=3)} select round(sqrt(avg((label - prediction) ** 2)), 6) as rmse "
     "from pairs",
     "mae": f"with {PAIRS.format(n=3)} select round(avg(abs(label - prediction)), 6) as mae from pairs",

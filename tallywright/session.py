@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_own_folders: dict[str, str] = {}
 
 
 def local_session(cpus: int | str = "*", app: str = "tallywright", **conf: str) -> SparkSession:
@@ -39,9 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tallywright-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="tallywright-")
+    return _own_folders[application]
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

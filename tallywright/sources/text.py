@@ -19,14 +19,15 @@ def read_lines(spark: SparkSession, path: str, partitions: int | None = None) ->
     return lines.repartition(partitions) if partitions else lines
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
+def spread(scan: DataFrame, *key: str) -> DataFrame:
     """Give a scan that splits into fewer parts than there are task slots one part per slot.
 
     Meant for scans of unsplittable files with much work per row behind them. Input that splits
-    well enough, as large input does, is left as it is.
+    well enough, as large input does, is left as it is. The key should tell most rows apart; with
+    none the rows are dealt out in turn.
     """
     slots = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(slots, key) if scan.rdd.getNumPartitions() < slots else scan
+    return scan.repartition(slots, *key) if scan.rdd.getNumPartitions() < slots else scan
 
 
 def read_table_csv(

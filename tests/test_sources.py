@@ -1,6 +1,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 
+from tallywright.session import materialize, shared_dir
 from tallywright.sources import (
     centroid_rows,
     read_centroids,
@@ -91,3 +92,22 @@ def test_spread_leaves_split_input_alone(spark):
     assert spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(100).repartition(20)
     assert spread(wide, "id") is wide
+
+
+def test_shared_folder_follows_the_session(spark):
+    class Session:
+        def __init__(self, master, **conf):
+            self.conf = conf
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "a1"})
+
+    assert shared_dir(Session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
+    with pytest.raises(RuntimeError):
+        shared_dir(Session("yarn"))
+    assert shared_dir(Session("local[2]")) == shared_dir(Session("local[2]"))
+
+
+def test_materialized_tables_keep_schema_and_rows(spark):
+    df = spark.range(5).selectExpr("id", "cast(null as string) as s", "array(1.5D) as x")
+    stored = materialize(df, "test")
+    assert stored.collect() == df.collect()
+    assert stored.dtypes == df.dtypes
