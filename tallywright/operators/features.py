@@ -80,25 +80,18 @@ def fit_tfidf(
     """
     if not 0 < max_features <= MAX_VOCABULARY:
         raise ValueError(f"max_features must be between 1 and {MAX_VOCABULARY}")
-    terms = T.terms(column)
-
-    def entry(term, seen, documents):
-        return F.struct(
-            term.cast("string").alias("term"),
-            F.lit(seen).alias("seen"),
-            F.lit(documents).alias("documents"),
-        )
-
-    marker = F.array(entry(F.lit(None), 0, 1))
-    every = F.transform("__terms", lambda term: entry(term, 1, 0))
-    distinct = F.transform(F.array_distinct("__terms"), lambda term: entry(term, 0, 1))
+    terms = F.col("__terms")
+    # Three lists per row: a marker, every term, every distinct term.
+    lists = F.array(F.array(F.lit(None).cast("string")), terms, F.array_distinct(terms))
     rows = (
-        df.select(terms.alias("__terms"))
-        .select(F.inline(F.concat(marker, every, distinct)))
+        df.select(T.terms(column).alias("__terms"))
+        .select(F.posexplode(lists).alias("kind", "words"))
+        .select("kind", F.explode("words").alias("term"))
         .filter(F.col("term").isNull() | T.not_stop_word("term", stop_words))
     )
     counts = rows.groupBy("term").agg(
-        F.sum("seen").alias("seen"), F.sum("documents").alias("documents")
+        F.count_if(F.col("kind") == 1).alias("seen"),
+        F.count_if(F.col("kind") != 1).alias("documents"),
     )
     # The marker row sorts first, so it rides along with the report.
     top = counts.orderBy(F.col("term").isNotNull(), F.desc("seen"), "term").limit(max_features + 1)

@@ -137,7 +137,10 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         .when((F.col("x") >= right) & (F.col("bin") < bins - 1), 1)
         .otherwise(0)
     )
-    placed = values.withColumn("bin", guess).select((F.col("bin") + step).alias("bin"))
+    # Missing values get a bin of their own: were the bin nullable, the join below would push a null
+    # test, and with it a second evaluation of the measured expression, down to the scan.
+    bin_number = F.coalesce(F.col("bin") + step, F.lit(-1).cast("bigint"))
+    placed = values.withColumn("bin", guess).select(bin_number.alias("bin"))
     counts = placed.groupBy("bin").agg(F.count("*").alias("count"))
     edges = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
     grid = edges.select("bin", left.alias("left"), right.alias("right"))

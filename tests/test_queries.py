@@ -71,3 +71,8 @@ def test_nearest_assignment_and_vectors_do_not_shuffle(spark, small):
 def test_grouping_combines_before_the_shuffle(spark, small):
     for name in ("line_count", "word_count", "sum_by", "cluster_sizes_planar"):
         assert "partial_" in plan(spark, small, name)
+
+
+def test_measured_expressions_are_evaluated_once(spark, small):
+    assert plan(spark, small, "histogram").count("split(") == 1
+    assert plan(spark, small, "tfidf_long").count("regexp_extract_all(") == 1
