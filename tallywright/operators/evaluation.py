@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 2_000
+MAX_CLASSES = 1_000
 
 
 def rmse(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -38,14 +38,9 @@ def confusion_matrix(
     df: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
     """Rows per true and predicted class, zero cells kept."""
-    counts = _pair_counts(df, label, prediction)
-    seen = counts.select(F.explode(F.array("label", "prediction")).alias("class")).distinct()
-    classes = seen.limit(MAX_CLASSES + 1).agg(_checked(F.collect_set("class")).alias("classes"))
-    grid = classes.select("classes", F.explode("classes").alias("label")).select(
-        "label", F.explode("classes").alias("prediction")
-    )
-    cells = grid.join(counts, ["label", "prediction"], "left")
-    return cells.select("label", "prediction", F.coalesce("count", F.lit(0)).alias("count"))
+    gathered = _gathered(_pair_counts(df, label, prediction))
+    cells = gathered.select(F.inline(F.concat("pairs", _zeros())))
+    return cells.groupBy("label", "prediction").agg(F.sum("count").alias("count"))
 
 
 def f1_weighted(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -94,21 +89,26 @@ def compare_models(
     """Accuracy and confusion cells of several models, ``(model, measure, label, prediction, value)``."""
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        cells = confusion_matrix(df, label, prediction).select(
-            F.lit(name).alias("model"),
-            F.lit("count").alias("measure"),
-            F.col("label").cast("string").alias("label"),
-            F.col("prediction").cast("string").alias("prediction"),
-            F.col("count").cast("double").alias("value"),
-        )
-        share = accuracy(df, label, prediction).select(
-            F.lit(name).alias("model"),
+        gathered = _gathered(_pair_counts(df, label, prediction))
+        hits = F.filter("pairs", lambda pair: pair["label"] == pair["prediction"])
+        share = F.struct(
             F.lit("accuracy").alias("measure"),
             F.lit(None).cast("string").alias("label"),
             F.lit(None).cast("string").alias("prediction"),
-            F.col("accuracy").alias("value"),
+            (_total(hits) / _total(F.col("pairs"))).alias("value"),
+        )
+        cells = F.transform(
+            F.concat("pairs", _zeros()),
+            lambda pair: F.struct(
+                F.lit("count").alias("measure"),
+                pair["label"].cast("string").alias("label"),
+                pair["prediction"].cast("string").alias("prediction"),
+                pair["count"].cast("double").alias("value"),
+            ),
         )
-        return share.unionByName(cells)
+        rows = gathered.select(F.inline(F.concat(F.array(share), cells)))
+        keys = [F.lit(name).alias("model"), "measure", "label", "prediction"]
+        return rows.groupBy(*keys).agg(F.sum("value").alias("value"))
 
     return reduce(DataFrame.unionByName, [one(name, df) for name, df in predictions.items()])
 
@@ -120,6 +120,39 @@ def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return pairs.groupBy("label", "prediction").agg(F.count("*").alias("count"))
 
 
+def _gathered(counts: DataFrame) -> DataFrame:
+    """The pair counts as one row, ``pairs`` and ``classes``; at most the square of the class limit.
+
+    One row serves the cells, the zero cells and the totals alike, so the predictions behind the
+    counts, which a model may have to compute, are scanned once.
+    """
+    pairs = counts.limit(MAX_CLASSES**2 + 1).agg(
+        F.collect_list(F.struct("label", "prediction", "count")).alias("pairs")
+    )
+    named = F.concat(F.col("pairs")["label"], F.col("pairs")["prediction"])
+    return pairs.select("pairs", _checked(F.array_compact(F.array_distinct(named))).alias("classes"))
+
+
+def _zeros() -> Column:
+    """A zero for every pair of classes."""
+
+    def row(label: Column) -> Column:
+        return F.transform(
+            "classes",
+            lambda prediction: F.struct(
+                label.alias("label"),
+                prediction.alias("prediction"),
+                F.lit(0).cast("bigint").alias("count"),
+            ),
+        )
+
+    return F.flatten(F.transform("classes", row))
+
+
+def _total(pairs: Column) -> Column:
+    return F.aggregate(pairs, F.lit(0).cast("bigint"), lambda total, pair: total + pair["count"])
+
+
 def _class_scores(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Per class: hits, support, precision, recall and F1, from the pair counts alone."""
     counts = _pair_counts(df, label, prediction)

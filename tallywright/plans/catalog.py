@@ -212,7 +212,7 @@ def clean_text(spark, sf_dir):
 
 @query
 def line_count(spark, sf_dir):
-    return aggregates.line_count(inputs.lines(spark, sf_dir))
+    return aggregates.line_count(inputs.table(spark, sf_dir, "documents"))
 
 
 @query
