@@ -1,5 +1,97 @@
-"""SQL counterparts, for DuckDB, of the queries that SQL can express."""
+"""SQL counterparts, for DuckDB, of the queries that SQL can express.
+
+The others (learned profiles, 64-bit hashes that DuckDB lacks, page markup, token ids, the filled
+lookup table, stopping by probability, entropy scans) are held against brute force in tests/llm.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0b\x0c\r]+'), lambda x: x <> '')"
+
+_DOMAIN = r"""case when try_cast(nullif(regexp_extract(coalesce(source, ''), '([0-9]+)$', 1), '') as int) = 0 then 'web'
+    when try_cast(nullif(regexp_extract(coalesce(source, ''), '([0-9]+)$', 1), '') as int) % 3 = 1 then 'books'
+    when try_cast(nullif(regexp_extract(coalesce(source, ''), '([0-9]+)$', 1), '') as int) % 3 = 2 then 'forum'
+    else 'news' end"""
+
+
+def _filled(nodes: str, parents: str, order: str) -> str:
+    """SQL that splits each parent's budget among its children, as the mixing module does."""
+    by = f"partition by {parents}" if parents else ""
+    return f"""
+      select *, case when is_full then cap
+        else least(cap, greatest(0, (weight * (budget - taken)) // nullif(all_weight - gone, 0))) end as given
+      from (select *, coalesce(sum(case when is_full then cap end) over ({by}), 0) as taken,
+                   coalesce(sum(case when is_full then weight end) over ({by}), 0) as gone
+            from (select *, cast(cap as double) * cast(all_weight - passed as double)
+                            <= cast(weight as double) * cast(budget - used as double) as is_full
+                  from (select *, coalesce(sum(cap) over before, 0) as used,
+                               coalesce(sum(weight) over before, 0) as passed,
+                               sum(weight) over ({by}) as all_weight
+                        from {nodes}
+                        window before as ({by} order by cap::double / weight, {order}
+                                          rows between unbounded preceding and 1 preceding))))"""
+
+
+_OP7 = f"""
+with d as (select doc_id, {_DOMAIN} as domain, lang, source, len({_WORDS}) as tokens from documents),
+leaf as (select domain, lang, source, sum(tokens)::bigint as tokens, 2 * sum(tokens)::bigint as cap,
+                case domain when 'web' then 4 when 'books' then 3 when 'forum' then 2 else 1 end as w0,
+                case lang when 'en' then 5 when 'fr' then 2 when 'de' then 2 else 1 end as w1
+         from d group by 1, 2, 3 having sum(tokens) > 0),
+n0 as (select domain, sum(cap) as cap, first(w0) as weight,
+              (select floor(sum(tokens) * 0.5)::bigint from leaf) as budget from leaf group by 1),
+b0 as ({_filled("n0", "", "domain nulls first")}),
+n1 as (select l.domain, l.lang, sum(l.cap) as cap, first(w1) as weight, first(b0.given) as budget
+       from leaf l join b0 on b0.domain is not distinct from l.domain group by 1, 2),
+b1 as ({_filled("n1", "domain", "domain nulls first, lang nulls first")}),
+n2 as (select l.domain, l.lang, l.source, l.tokens, l.cap, 1 as weight, b1.given as budget
+       from leaf l join b1 on b1.domain is not distinct from l.domain and b1.lang is not distinct from l.lang),
+b2 as ({_filled("n2", "domain, lang", "domain nulls first, lang nulls first, source nulls first")}),
+plan as (select domain, lang, source, given::bigint // tokens as epochs, given::bigint % tokens as rest from b2),
+rows as (select d.*, p.epochs, p.rest, md5('11:' || p.epochs || ':' || coalesce(doc_id::varchar, 'null')) as place
+         from d join plan p on d.domain is not distinct from p.domain and d.lang is not distinct from p.lang
+                           and d.source is not distinct from p.source),
+cut as (select *, sum(tokens) over (partition by domain, lang, source order by place) <= rest and rest > 0 as more from rows)
+select doc_id, unnest(range(epochs + more::int))::int as epoch, domain, lang, source, tokens::bigint as tokens
+from (select *, row_number() over () as k from cut) where epochs + more::int > 0"""
+
+_OP8 = f"""
+with d as (select doc_id, {_WORDS} as ws from documents),
+windows as (select doc_id, i, list_aggregate(ws[i : i + 19], 'string_agg', ' ') as win
+            from (select doc_id, ws, unnest(range(1, len(ws) - 18)) as i from d where len(ws) >= 20)),
+later as (select doc_id, i from (select doc_id, i, row_number() over (partition by win order by doc_id, i) as k from windows)
+          where k > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 20)) as i from later),
+words as (select doc_id, unnest(range(1, len(ws) + 1)) as i, unnest(ws) as w from d),
+kept as (select w.doc_id, count(g.i) as n_removed,
+                coalesce(string_agg(w.w, ' ' order by w.i) filter (where g.i is null), '') as text
+         from words w left join gone g on w.doc_id = g.doc_id and w.i = g.i group by 1)
+select d.doc_id, len(d.ws)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed,
+       sha256(coalesce(kept.text, '')) as kept_sha256
+from d left join kept on d.doc_id = kept.doc_id"""
+
+_OP9 = rf"""
+with d as (select doc_id, coalesce(text, '') as t, {_WORDS} as ws,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ \t\n\x0b\x0c\r]')) as ls
+           from documents),
+wins as (select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as win
+         from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from d where len(ws) >= 3)),
+again as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, win) as n from wins) where n > 1),
+covered as (select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from again) group by 1),
+c as (select d.doc_id, len(ws)::bigint as n_words, length(list_aggregate(ws, 'string_agg', ''))::bigint as chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, len(ls) as n_lines,
+             (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(covered.n, 0)::bigint as n_repeat_words,
+             length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) as upper_chars,
+             length(regexp_replace(t, '[^!?]', '', 'g')) as marks
+      from d left join covered on d.doc_id = covered.doc_id),
+j as (select *, coalesce(chars, 0)::bigint as word_chars, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not (base_failed or 10 * n_symbols > n_words or word_chars < 2 * n_words or word_chars > 20 * n_words
+            or 10 * n_dup_lines > 3 * n_lines or 2 * upper_chars > word_chars or 2 * marks > n_words) as kept
+from j"""
+
+ORACLES: dict[str, str] = {
+    "op7_source_mix": _OP7,
+    "op8_substring_dedup": _OP8,
+    "op9_quality_rules": _OP9,
+}

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from tallywright.llm.text_units import spare_name, words_of
 from tallywright.session import materialize
 
-#: Rows measured at most, and the share of the table they are drawn from.
-SAMPLE_ROWS, SAMPLE_SHARE = 2_000, 0.05
+#: Rows that costs and rejections are measured on, in expectation.
+SAMPLE_ROWS = 2_000
 # Symbols counted, and the limits of the base rule.
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
@@ -96,8 +96,7 @@ def with_repeat_words(df: DataFrame, words: str, out: str) -> DataFrame:
     def same(x: Column, y: Column) -> Column:
         return F.shiftright(x, PLACE_BITS) == F.shiftright(y, PLACE_BITS)
 
-    ties = F.filter(packed, lambda x, i: (i > 0) & same(x, at(packed, i - 1)))
-    df = df.withColumn(twice, ties)
+    df = df.withColumn(twice, F.filter(packed, lambda x, i: (i > 0) & same(x, at(packed, i - 1))))
     df = df.withColumn(
         twice,
         F.when(F.size(twice) == 0, F.col(twice)).otherwise(
@@ -167,11 +166,17 @@ def default_rules(text: str, words: str, lines: str, symbols: str) -> list[Rule]
     ]
 
 
-def measure_rules(
-    df: DataFrame, rules: Sequence[Rule], rows: int = SAMPLE_ROWS, share: float = SAMPLE_SHARE, seed: int = 7
-) -> list[Measured]:
-    """Cost and rejection of each rule over at most ``rows`` rows of a random share of the table."""
-    sample = materialize(df.sample(share, seed).limit(rows), "quality-sample")
+def draw_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 7) -> DataFrame:
+    """About ``rows`` random rows of the table, all of them if it has no more.
+
+    The share follows from the row count, so that no task has to gather what others have drawn.
+    """
+    n = docs.count()
+    return materialize(docs.sample(min(1.0, rows / n), seed) if n > rows else docs, "quality-sample")
+
+
+def measure_rules(sample: DataFrame, rules: Sequence[Rule]) -> list[Measured]:
+    """Cost and rejection of each rule over the rows of a stored sample."""
     measured = []
     for rule in rules:
         probe = sample.agg(F.count(F.lit(1)).alias("n"), F.count_if(rule.rejects).alias("bad"))
@@ -199,7 +204,7 @@ def cascade(rules: Sequence[Rule]) -> Column:
 
 
 def score_quality(
-    docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, share: float = SAMPLE_SHARE
+    docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS
 ) -> DataFrame:
     """Base counts, the base verdict and the cascade's verdict for every row.
 
@@ -211,12 +216,15 @@ def score_quality(
     added = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rule", "kept"}
     kept = [c for c in docs.columns if c.lower() not in added]
     words, lines = spare_name(docs, "words"), spare_name(docs, "lines")
-    parts = (
-        docs.select(*[F.col(f"`{c}`") for c in kept])
-        .withColumns({words: words_of(F.col(text)), lines: lines_with_words(F.col(text))})
-        .withColumn("n_symbols", n_symbols(F.col(text)))
-    )
-    rules = order_rules(measure_rules(parts, default_rules(text, words, lines, "n_symbols"), rows, share))
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        parts = {words: words_of(F.col(text)), lines: lines_with_words(F.col(text))}
+        return df.withColumns({**parts, "n_symbols": n_symbols(F.col(text))})
+
+    parts = with_parts(docs.select(*[F.col(f"`{c}`") for c in kept]))
+    rules = default_rules(text, words, lines, "n_symbols")
+    sample = materialize(with_parts(draw_sample(docs.select(F.col(f"`{text}`")), rows)), "quality-parts")
+    rules = order_rules(measure_rules(sample, rules))
     counted = with_repeat_words(parts, words, "n_repeat_words").withColumns(
         {
             "n_words": F.size(words).cast("long"),
