@@ -17,9 +17,9 @@ from tallywright.llm import language_id, mixing, packing, secrets, simhash
 from tallywright.llm.text_units import spare_name, words_of
 from tallywright.session import materialize
 
-#: Least cosine with any language. A text below it resembles none; ordinary text of a few words
-#: stays above.
-LEAST_COSINE = 0.05
+#: Least cosine with any language: the spread of the cosine of unrelated vectors. A text below it
+#: resembles none; a single ordinary word is above.
+LEAST_COSINE = language_id.DIMENSIONS**-0.5
 #: Share of the tokens that the mix takes, with languages weighted within each source group.
 MIX_SHARE, MIX_SEED = 0.9, 5
 MIX_WEIGHTS = {("all", "en"): 6, ("all", "fr"): 2, ("all", "de"): 2, ("all", "es"): 1}
