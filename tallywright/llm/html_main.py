@@ -46,6 +46,7 @@ BOILERPLATE = frozenset(
     "subscribe toolbar topbar widget widgets".split()
 )
 HEADERS = frozenset("header head topnav".split())
+OF_SITE = frozenset("site page global top".split())
 OF_ARTICLE = frozenset("article post entry story content main".split())
 WRAPPERS = frozenset("has with no is without".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
@@ -104,6 +105,8 @@ def is_boilerplate(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
             continue
         if BOILERPLATE.intersection(parts):
             return True
+        if HEADERS.intersection(parts) and OF_SITE.intersection(parts):
+            return True
         if HEADERS.intersection(parts) and not OF_ARTICLE.intersection(parts) and not in_main:
             return True
     return False

@@ -12,8 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-MASK = (1 << 64) - 1
-BYTE_BASE, WORD_BASE, CHECK_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
+BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 #: Bytes hashed at once; a piece ends between words.
 PIECE = 1 << 21
 
@@ -81,17 +80,3 @@ def window_hashes(values: np.ndarray, width: int, base: int = WORD_BASE) -> np.n
             out += values[k : k + n]
     return mixed(out)
 
-
-def minimum_places(hashes: np.ndarray, reach: int) -> np.ndarray:
-    """For every run of ``reach`` neighbouring hashes, the place of the first smallest one."""
-    n = len(hashes) - reach + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.int64)
-    best = np.arange(len(hashes))
-    span = 1
-    while span < reach:
-        step = min(span, reach - span)
-        left, right = best[:-step], best[step:]
-        best = np.where(hashes[right] < hashes[left], right, left)
-        span += step
-    return best[:n]
