@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 
 
 def key_text(keys: str | Sequence[str]) -> Column:
-    """The row key as one string; several columns are joined by ``|``."""
+    """The row key as one string, null if a single key is.
+
+    Of several columns each value carries its length, and a null is ``-``, so that different keys
+    give different texts.
+    """
     names = [keys] if isinstance(keys, str) else list(keys)
     if len(names) == 1:
         return F.col(names[0]).cast("string")
-    return F.concat_ws("|", *[F.col(name).cast("string") for name in names])
+    texts = [F.col(name).cast("string") for name in names]
+    sized = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.concat_ws("|", *sized)
 
 
 def hash_text(keys: str | Sequence[str], seed: str = "") -> Column:

@@ -8,8 +8,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +17,6 @@ from tallywright.sources.points import CENTROID_SCHEMA, centroid_rows
 
 Centroids = list[tuple[int, list[float]]]
 Features = str | Sequence[str]
-MEAN_COLUMNS_LIMIT = 16
 
 
 def split_valid_points(
@@ -30,14 +27,18 @@ def split_valid_points(
     A point that is too wide, too narrow, malformed, NaN or infinite has no meaningful nearest
     centroid; it is set apart rather than put in a cluster of its own.
     """
+    valid = _valid(features, width)
+    return points.filter(valid), points.filter(~valid)
+
+
+def _valid(features: Features, width: int) -> Column:
     if isinstance(features, str):
         sized = F.coalesce(F.size(features) == width, F.lit(False))
-        valid = sized & F.coalesce(F.forall(features, finite), F.lit(False))
-    else:
-        valid = F.lit(len(features) == width)
-        for name in features:
-            valid = valid & finite(F.col(name))
-    return points.filter(valid), points.filter(~valid)
+        return sized & F.coalesce(F.forall(features, finite), F.lit(False))
+    valid = F.lit(len(features) == width)
+    for name in features:
+        valid = valid & finite(F.col(name))
+    return valid
 
 
 def assign_nearest(
@@ -45,31 +46,24 @@ def assign_nearest(
 ) -> DataFrame:
     """Add ``cid``, the nearest centroid by squared Euclidean distance, ties to the lowest id.
 
-    ``features`` is one array column or a list of number columns; points are taken as valid. There
-    is no join and no shuffle: the centroids are literals of the plan.
+    ``features`` is one array column or a list of number columns; a point that is not valid (see
+    :func:`split_valid_points`) gets null. There is no join and no shuffle: the centroids are literals of the plan.
     """
     rows = _rows(centroids)
     width = _width(rows)
     if width * len(rows) <= UNROLL_LIMIT:
-        return with_nearest_unrolled(points, _coordinates(features, width), rows)
+        return with_nearest_unrolled(
+            points, _coordinates(features, width), rows, _valid(features, width)
+        )
     x = F.col(features) if isinstance(features, str) else F.array(*features)
     return points.withColumn("cid", nearest_arrow(x, rows))
 
 
 def recompute_centroids(assigned: DataFrame, features: Features = "x", width: int = 2) -> DataFrame:
     """Mean point and size per cluster, combined on the map side: k rows leave each task."""
-    if width <= MEAN_COLUMNS_LIMIT:
-        means = [
-            F.avg(x).alias(f"__m{i}") for i, x in enumerate(_coordinates(features, width))
-        ]
-        grouped = assigned.groupBy("cid").agg(*means, F.count("*").alias("size"))
-        return grouped.select(
-            "cid", F.array(*[f"__m{i}" for i in range(width)]).alias("c"), "size"
-        )
-    x = F.col(features) if isinstance(features, str) else F.array(*features)
-    grouped = assigned.select("cid", array_to_vector(x).alias("v")).groupBy("cid")
-    mean = vector_to_array(Summarizer.mean(F.col("v")))
-    return grouped.agg(mean.alias("c"), F.count("*").alias("size"))
+    means = [F.avg(x).alias(f"__m{i}") for i, x in enumerate(_coordinates(features, width))]
+    grouped = assigned.groupBy("cid").agg(*means, F.count("*").alias("size"))
+    return grouped.select("cid", F.array(*[f"__m{i}" for i in range(width)]).alias("c"), "size")
 
 
 def cluster_sizes(assigned: DataFrame) -> DataFrame:
@@ -85,6 +79,11 @@ class KMeansResult:
     centroids: Centroids
     steps: list[tuple[int, int, list[float], int, float]] = field(default_factory=list)
     milliseconds: list[int] = field(default_factory=list)
+    bad_points: DataFrame | None = None
+
+    def bad_count(self) -> int:
+        """Input rows that took no part because they are no valid points."""
+        return self.bad_points.count() if self.bad_points is not None else 0
 
     def centroid_table(self) -> DataFrame:
         return self.spark.createDataFrame(self.centroids, CENTROID_SCHEMA)
@@ -112,7 +111,8 @@ def kmeans_fit(
     """Repeat assignment and mean a fixed number of times; with ``tol`` stop at a smaller shift.
 
     ``empty='drop'`` removes a cluster that lost its points and leaves the other ids alone;
-    ``empty='keep'`` carries its centroid on. Invalid points take no part. Between iterations only
+    ``empty='keep'`` carries its centroid on. Invalid points take no part; the result's
+    ``bad_points`` has their rows. Between iterations only
     the k centroids live on the driver, so the plan does not grow and a lost executor costs no
     more than its cached blocks, which are rebuilt from the source. Pass ``storage=None`` where the
     input is columnar already and larger than the cluster's caches.
@@ -121,11 +121,11 @@ def kmeans_fit(
         raise ValueError("empty must be 'drop' or 'keep'")
     rows = _rows(seeds)
     width = _width(rows)
-    valid, _ = split_valid_points(points, features, width)
+    valid, bad = split_valid_points(points, features, width)
     valid = valid.select(*([features] if isinstance(features, str) else features))
     if storage is not None:
         valid = valid.persist(storage)
-    result = KMeansResult(points.sparkSession, rows)
+    result = KMeansResult(points.sparkSession, rows, bad_points=bad)
     try:
         for iteration in range(max_iter):
             started = time.monotonic()

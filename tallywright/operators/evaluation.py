@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, NumericType, StringType
 
+#: Classes that the grid of a confusion matrix, quadratic in their number, may have.
 MAX_CLASSES = 1_000
 
 
@@ -56,7 +58,7 @@ def classification_report(
 
     A ratio with nothing below the line is 0. The accuracy row holds its value under ``f1``.
     """
-    scores = _class_scores(df, label, prediction).limit(MAX_CLASSES + 1)
+    scores = _class_scores(df, label, prediction).limit(MAX_CLASSES + 2)
     names = ["precision", "recall", "f1"]
     total = F.sum("support")
     summary = scores.agg(
@@ -114,9 +116,14 @@ def compare_models(
 
 
 def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Rows per (label, prediction); both in the label's type if they differ in type."""
-    kind = df.schema[label].dataType
-    pairs = df.select(F.col(label).alias("label"), F.col(prediction).cast(kind).alias("prediction"))
+    """Rows per (label, prediction); both as doubles, or else texts, if they differ in type."""
+    kind, other = df.schema[label].dataType, df.schema[prediction].dataType
+    if kind != other:
+        both = isinstance(kind, NumericType) and isinstance(other, NumericType)
+        kind = DoubleType() if both else StringType()
+    pairs = df.select(
+        F.col(label).cast(kind).alias("label"), F.col(prediction).cast(kind).alias("prediction")
+    )
     return pairs.groupBy("label", "prediction").agg(F.count("*").alias("count"))
 
 
@@ -126,9 +133,13 @@ def _gathered(counts: DataFrame) -> DataFrame:
     One row serves the cells, the zero cells and the totals alike, so the predictions behind the
     counts, which a model may have to compute, are scanned once.
     """
-    pairs = counts.limit(MAX_CLASSES**2 + 1).agg(
+    # the allowed classes and null give (MAX_CLASSES + 1) ** 2 pairs; one more is always an error
+    most = (MAX_CLASSES + 1) ** 2
+    pairs = counts.limit(most + 1).agg(
         F.collect_list(F.struct("label", "prediction", "count")).alias("pairs")
     )
+    many = F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))
+    pairs = pairs.select(F.when(F.size("pairs") > most, many).otherwise(F.col("pairs")).alias("pairs"))
     named = F.concat(F.col("pairs")["label"], F.col("pairs")["prediction"])
     return pairs.select("pairs", _checked(F.array_compact(F.array_distinct(named))).alias("classes"))
 
@@ -191,6 +202,6 @@ def _ratio(above: Column, below: Column) -> Column:
 
 
 def _checked(classes: Column) -> Column:
-    """Refuse a label column that is no class label; the grid is quadratic in its values."""
+    """Refuse a label column that is no class label; null may come on top of the classes."""
     message = F.lit(f"more than {MAX_CLASSES} classes")
-    return F.when(F.size(classes) > MAX_CLASSES, F.raise_error(message)).otherwise(classes)
+    return F.when(F.size(classes) > MAX_CLASSES + 1, F.raise_error(message)).otherwise(classes)

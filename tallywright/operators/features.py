@@ -148,7 +148,7 @@ def mean_tfidf_by_class(
     sums = weights.groupBy("term").agg(
         F.sum(F.when(in_class, F.col("weight")).otherwise(0.0)).alias("total")
     )
-    means = sums.select("term", (F.col("total") / size).alias("score"))
+    means = sums.select("term", F.try_divide("total", size).alias("score"))
     return means.orderBy(F.desc("score"), F.desc("term")).limit(n)
 
 

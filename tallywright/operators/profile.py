@@ -26,7 +26,7 @@ def describe_table(df: DataFrame) -> DataFrame:
         numeric = isinstance(field.dataType, NumericType)
         if not numeric and not isinstance(field.dataType, StringType):
             continue
-        x = F.col(name)
+        x = F.col(f"`{name}`")
         measured = x.cast("double") if numeric else F.lit(None).cast("double")
         text = F.lit(None).cast("string") if numeric else x
         parts = {
@@ -99,7 +99,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
     aggregates = [F.count(F.lit(1)).alias("__rows")]
     rows = []
     for field in df.schema.fields:
-        x = F.col(field.name)
+        x = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (DoubleType, FloatType)):
             x = F.when(~F.isnan(x), x)
         aggregates.append(F.count(x).alias(f"{field.name}__present"))

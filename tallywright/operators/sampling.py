@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.functions.hashing import hash_number, hash_share, hash_text, key_text
 from tallywright.operators.selection import order_statistics
 
+#: Default of the largest sample.
 MAX_SAMPLE = 100_000
 
 
@@ -24,9 +25,10 @@ def split_by_hash(
 ) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of the row key; the same rows on any cluster, in a single filter.
 
-    Returns the part with about ``share`` of the keys and the rest.
+    Returns the part with about ``share`` of the keys and the rest. Rows with a null key go
+    together, to the first part unless the share is 0.
     """
-    chosen = hash_share(key, seed) < share
+    chosen = F.coalesce(hash_share(key, seed), F.lit(0.0)) < share
     return df.filter(chosen), df.filter(~chosen)
 
 
@@ -36,8 +38,8 @@ def split_exact(
     """Split off exactly ``ceil(test_share * n)`` rows, those with the lowest key hashes.
 
     Returns ``(train, test)``. The cut is found by exact selection on the leading 48 bits of the
-    hash and then among the few keys that share them, so nothing is sorted as a whole. Keys must
-    be unique; a repeated key right at the cut is an error, as its rows cannot be told apart.
+    hash and then among the few keys that share them, so nothing is sorted as a whole. If the key
+    at the cut repeats, its rows alone are ordered by their content.
     """
     digest, text = hash_text(key, seed), key_text(key)
     leading = hash_number(digest, 12).cast("double")
@@ -58,24 +60,33 @@ def split_exact(
         .groupBy("digest", "key")
         .agg(F.count("*").alias("count"))
         .orderBy("digest", "key")
-        .limit(MAX_SAMPLE)
-        .collect()
+        .collect()  # distinct keys that share 48 bits of their hash
     )
     taken = place.strictly_below
     for last in tied:
         taken += last["count"]
         if taken >= size:
             break
-    if taken != size:
-        raise ValueError(f"key {last.key!r} repeats at the cut; an exact split needs unique keys")
     in_test = (digest < last.digest) | ((digest == last.digest) & (text <= last.key))
-    return df.filter(~in_test), df.filter(in_test)
+    if taken == size:
+        return df.filter(~in_test), df.filter(in_test)
+    # the last key repeats: of its rows the first ones in the order of their whole content
+    at_cut = (digest == last.digest) & (text == last.key)
+    content = F.to_json(F.struct(*[df[f"`{c}`"] for c in df.columns]))
+    numbered = df.filter(at_cut).withColumn("__place", F.row_number().over(Window.orderBy(content)))
+    more = size - (taken - last["count"])
+    test = numbered.filter(F.col("__place") <= more).drop("__place")
+    train = numbered.filter(F.col("__place") > more).drop("__place")
+    return df.filter(~in_test).unionByName(train), df.filter(in_test & ~at_cut).unionByName(test)
 
 
 def sample_seeds(
-    df: DataFrame, key: str | Sequence[str], k: int, seed: str = "0"
+    df: DataFrame, key: str | Sequence[str], k: int, seed: str = "0", most: int = MAX_SAMPLE
 ) -> DataFrame:
-    """k rows without replacement, in hash order; each task keeps only its best k."""
-    if not 0 < k <= MAX_SAMPLE:
-        raise ValueError(f"k must be between 1 and {MAX_SAMPLE}")
+    """k rows without replacement, in hash order; each task keeps only its best k.
+
+    ``most`` guards the one task that ranks the best rows of all tasks; raise it if that has room.
+    """
+    if not 0 < k <= most:
+        raise ValueError(f"k must be between 1 and {most}")
     return df.orderBy(hash_text(key, seed), key_text(key)).limit(k)

@@ -187,24 +187,24 @@ def tokenize_ws(spark, sf_dir):
 
 @query
 def tokenize_terms(spark, sf_dir):
-    return text.tokenize_terms(inputs.comments(spark, sf_dir), "CONTENT", ["doc_id"])
+    return text.tokenize_terms(inputs.texts(spark, sf_dir), "CONTENT", ["doc_id"])
 
 
 @query
 def tokenize_terms_without_stop_words(spark, sf_dir):
-    comments = inputs.comments(spark, sf_dir)
+    comments = inputs.texts(spark, sf_dir)
     return text.tokenize_terms(comments, "CONTENT", ["doc_id"], stop_words="english")
 
 
 @query
 def token_length(spark, sf_dir):
-    comments = inputs.comments(spark, sf_dir)
+    comments = inputs.texts(spark, sf_dir)
     return text.token_length(comments, "CONTENT").select("doc_id", "comment_length")
 
 
 @query
 def clean_text(spark, sf_dir):
-    return text.clean_text(inputs.comments(spark, sf_dir), "CONTENT").select("doc_id", "CONTENT")
+    return text.clean_text(inputs.texts(spark, sf_dir), "CONTENT").select("doc_id", "CONTENT")
 
 
 # Aggregations
@@ -278,7 +278,7 @@ def describe_table(spark, sf_dir):
 
 @query
 def describe_percentiles(spark, sf_dir):
-    rows = inputs.table(spark, sf_dir, "lineitem").select(*NUMBERS)
+    rows = inputs.table(spark, sf_dir, "lineitem")
     return _rounded(profile.describe_percentiles(rows), "mean", "std", "p25", "p50", "p75")
 
 
@@ -294,7 +294,7 @@ def drop_duplicate_rows(spark, sf_dir):
 
 @query
 def histogram(spark, sf_dir):
-    sized = text.token_length(inputs.comments(spark, sf_dir), "CONTENT")
+    sized = text.token_length(inputs.texts(spark, sf_dir), "CONTENT")
     return _rounded(profile.histogram(sized, "comment_length", 30), "left", "right")
 
 
@@ -347,14 +347,14 @@ def term_weights(spark, sf_dir):
 
 @query
 def tfidf_long_small(spark, sf_dir):
-    comments = inputs.comments(spark, sf_dir)
+    comments = inputs.texts(spark, sf_dir)
     weights = features.tfidf_long(comments, "CONTENT", ["doc_id"], 100, "english")
     return _rounded(weights, "weight")
 
 
 @query
 def tfidf_long(spark, sf_dir):
-    cleaned = text.clean_text(inputs.comments(spark, sf_dir), "CONTENT")
+    cleaned = text.clean_text(inputs.texts(spark, sf_dir), "CONTENT")
     return _rounded(features.tfidf_long(cleaned, "CONTENT", ["doc_id"], 5000), "weight")
 
 
@@ -366,7 +366,7 @@ def mean_tfidf_by_class(spark, sf_dir):
 
 @query
 def tfidf_vectors(spark, sf_dir):
-    cleaned = text.clean_text(inputs.comments(spark, sf_dir), "CONTENT")
+    cleaned = text.clean_text(inputs.texts(spark, sf_dir), "CONTENT")
     vector = F.unwrap_udt("features")
     return features.tfidf_vectors(cleaned, "CONTENT", 5000).select(
         "doc_id",
@@ -405,7 +405,11 @@ def assemble_features(spark, sf_dir):
 
 @query
 def fit_features(spark, sf_dir):
-    ready = _feature_rows(spark, sf_dir)
+    records = _records(spark, sf_dir)
+    fitted = features.fit_features(
+        records, studies.CONNECTION_CATEGORIES, studies.CONNECTION_VECTOR
+    )
+    ready = fitted.transform(records).withColumnRenamed("new_label_indexed", "label_indexed")
     values = vector_to_array("features")
     width = len(studies.CONNECTION_VECTOR)
     entries = ready.select(
@@ -438,6 +442,17 @@ def split_by_hash(spark, sf_dir):
     )
 
 
+@query
+def split_by_hash_with_null_keys(spark, sf_dir):
+    """A key that a part of the rows does not have; both parts add up to the table."""
+    key = F.when(F.col("l_linenumber") > 1, F.col("l_orderkey")).alias("key")
+    rows = inputs.table(spark, sf_dir, "lineitem").select(*inputs.LINE_KEY, key)
+    train, test = sampling.split_by_hash(rows, "key", 0.8)
+    return train.withColumn("part", F.lit("train")).unionByName(
+        test.withColumn("part", F.lit("test"))
+    )
+
+
 @query
 def split_exact(spark, sf_dir):
     rows = inputs.table(spark, sf_dir, "lineitem").select(*inputs.LINE_KEY)
@@ -512,13 +527,27 @@ def kmeans_history_steps(spark, sf_dir):
     history = kmeans_history(
         inputs.points(spark, sf_dir),
         inputs.point_seeds(spark, sf_dir, SEEDS),
-        3,
+        15,
         features=["px", "py"],
     )
     shift = history.withColumn("shift", F.round("shift", 6))
     return _planar(shift, "iteration", "cid", "size", "shift")
 
 
+@query
+def bad_points(spark, sf_dir):
+    """Rows that k-means leaves out: null, of another width, or not finite."""
+    number = F.col("l_linenumber")
+    x = (
+        F.when(number == 2, F.array("px"))
+        .when(number == 3, F.array(F.col("px"), F.lit(float("nan"))))
+        .when(number != 1, F.array("px", "py"))
+    )
+    points = inputs.points(spark, sf_dir).withColumn("x", x)
+    result = kmeans_fit(points, inputs.point_seeds(spark, sf_dir, SEEDS), 1)
+    return result.bad_points.select(*inputs.LINE_KEY)
+
+
 @query
 def cluster_sizes_planar(spark, sf_dir):
     return cluster_sizes(_assigned(spark, sf_dir))
@@ -565,8 +594,7 @@ def compare_splits(spark, sf_dir):
 
 
 def _search(train):
-    grid = {"rank": [5, 10], "maxIter": [5], "regParam": [0.1, 1.0]}
-    return models.tune_als(train, grid, folds=3)
+    return models.tune_als(train, folds=3)
 
 
 @query
@@ -590,28 +618,27 @@ def recommend_for_users(spark, sf_dir):
     return models.recommend_for_users(models.fit_als(train), users, 12)
 
 
-def _feature_rows(spark, sf_dir):
+def _feature_split(spark, sf_dir):
+    """Training and test rows; equal records stay on one side."""
     records = _records(spark, sf_dir)
     fitted = features.fit_features(
         records, studies.CONNECTION_CATEGORIES, studies.CONNECTION_VECTOR
     )
-    return fitted.transform(records).select(
-        "new_label", F.col("new_label_indexed").alias("label_indexed"), "features"
-    )
+    columns_ = ["new_label", F.col("new_label_indexed").alias("label_indexed"), "features"]
+    parts = sampling.split_by_hash(records, records.columns, 0.8, "42")
+    return tuple(fitted.transform(part).select(*columns_) for part in parts)
 
 
 @query
 def fit_linear_svm(spark, sf_dir):
-    train, test = sampling.split_random(_feature_rows(spark, sf_dir), [0.8, 0.2], 42)
-    model = models.fit_linear_svm(train.persist())
-    train.unpersist()
-    scored = models.predict(model, test)
+    train, test = _feature_split(spark, sf_dir)
+    scored = models.predict(models.fit_linear_svm(train), test)
     return scored.groupBy("new_label", "prediction").agg(F.count("*").alias("count"))
 
 
 @query
 def predict_connections(spark, sf_dir):
-    train, test = sampling.split_random(_feature_rows(spark, sf_dir), [0.8, 0.2], 42)
+    train, test = _feature_split(spark, sf_dir)
     scored = models.predict(models.fit_linear_svm(train), test)
     raw = vector_to_array("rawPrediction")
     return scored.select("new_label", "prediction", F.get(raw, F.lit(1)).alias("raw"))
@@ -631,16 +658,14 @@ def _comment_rows(spark, sf_dir):
 @query
 def fit_logistic(spark, sf_dir):
     train, test = _comment_rows(spark, sf_dir)
-    scored = models.predict(models.fit_logistic(train.persist(), "CLASS"), test)
-    train.unpersist()
+    scored = models.predict(models.fit_logistic(train, "CLASS"), test)
     return scored.select("CLASS", "prediction", vector_to_array("probability")[1].alias("share"))
 
 
 @query
 def fit_random_forest(spark, sf_dir):
     train, test = _comment_rows(spark, sf_dir)
-    model = models.fit_random_forest(train.persist(), "CLASS", trees=20, depth=5)
-    train.unpersist()
+    model = models.fit_random_forest(train, "CLASS")
     return models.predict(model, test).select("CLASS", "prediction")
 
 

@@ -5,18 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywright.plans.studies import CONNECTION_ORDINALS
 from tallywright.sources import spread
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-CONNECTION_FIELDS = {
-    "duration": 0,
-    "protocol_type": 1,
-    "service": 2,
-    "flag": 3,
-    "src_bytes": 4,
-    "dst_bytes": 5,
-    "label": 6,
-}
+CONNECTION_FIELDS = {**CONNECTION_ORDINALS, "label": 6}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,7 +101,12 @@ def connection_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("string"),
         label,
     )
-    return spread(table(spark, sf_dir, "lineitem"), *LINE_KEY).select(text.alias("value"))
+    return table(spark, sf_dir, "lineitem").select(text.alias("value"))
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, CONTENT)``, for what needs no class."""
+    return documents(spark, sf_dir).withColumnRenamed("text", "CONTENT")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,8 +28,16 @@ NOT_WORD = (
 TERM = r"[\p{L}\p{N}_]{2,}"
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
-KEY_TEXT = f"concat_ws('|', {KEY})"
+def _key_text(*names: str) -> str:
+    """Length-marked key text of several columns that are never null."""
+    return "concat_ws('|', " + ", ".join(f"length({n}::varchar) || ':' || {n}" for n in names) + ")"
 
+
+KEY_TEXT = _key_text(*KEY.split(", "))
+
+NUMERIC = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
+]
 POINTS = f"points as (select {KEY}, l_quantity as px, l_extendedprice / 1000 as py from lineitem)"
 RATINGS = (
     "ratings as (select user_id::int as userId, json_extract_string(props, '$.k')::int as movieId, "
@@ -138,7 +146,7 @@ def _model_rows(name: str, table: str) -> str:
     from {table}_cells"""
 
 
-SPLIT = "('0x' || substr(md5(concat_ws('|', userId, movieId)), 1, 8))::bigint / 4294967296.0"
+SPLIT = "('0x' || substr(md5(" + _key_text("userId", "movieId") + "), 1, 8))::bigint / 4294967296.0"
 TRAIN_TEST = f"""{RATINGS}, means as (select userId, movieId, avg(rating) as rating from ratings
     group by 1, 2),
   train as (select * from means where {SPLIT} < 0.8),
@@ -241,7 +249,7 @@ ORACLES: dict[str, str] = {
     "describe_table": f"with {RATINGS} "
     + " union all ".join(_describe(name) for name in ("userId", "movieId", "rating")),
     "describe_percentiles": " union all ".join(
-        _percentiles(name) for name in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+        _percentiles(name) for name in NUMERIC
     ),
     "profile_columns": f"with {COMMENTS} "
     + " union all ".join(
@@ -308,6 +316,11 @@ ORACLES: dict[str, str] = {
     "split_by_hash": f"""select {KEY}, case when
       ('0x' || substr(md5({KEY_TEXT}), 1, 8))::bigint / 4294967296.0 < 0.8
       then 'train' else 'test' end as part from lineitem""",
+    "split_by_hash_with_null_keys": f"""with rows as (select {KEY},
+      case when l_linenumber > 1 then l_orderkey end as key from lineitem)
+      select *, case when coalesce(('0x' || substr(md5(key::varchar), 1, 8))::bigint / 4294967296.0, 0)
+        < 0.8 then 'train' else 'test' end as part from rows""",
+    "bad_points": f"select {KEY} from lineitem where l_linenumber <= 3",
     "split_exact": f"""select {KEY}, case when row_number() over (order by md5({KEY_TEXT}),
       {KEY_TEXT}) <= ceil(0.2 * (select count(*) from lineitem)) then 'test' else 'train' end as part
       from lineitem""",
@@ -323,12 +336,12 @@ ORACLES: dict[str, str] = {
     "round(cy, 6) as cy from c3",
     "kmeans_fifteen_steps": f"{_kmeans(15)} select cid::int as cid, round(cx, 6) as cx, "
     "round(cy, 6) as cy from c15",
-    "kmeans_history_steps": f"{_kmeans(3)} "
+    "kmeans_history_steps": f"{_kmeans(15)} "
     + " union all ".join(
         f"""select {step - 1}::int as iteration, n.cid::int as cid, n.size,
         round(sqrt((n.cx - o.cx) ** 2 + (n.cy - o.cy) ** 2), 6) as shift,
         round(n.cx, 6) as cx, round(n.cy, 6) as cy from c{step} n join c{step - 1} o using (cid)"""
-        for step in (1, 2, 3)
+        for step in range(1, 16)
     ),
     "cluster_sizes_planar": f"{_assigned()} select cid::int as cid, count(*) as size "
     "from assigned group by 1",

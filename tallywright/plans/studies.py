@@ -34,6 +34,7 @@ SELECTED_WORDS = [
     "COLLEGE",
     "WORLD",
 ]
+# Category columns, and columns of the feature vector in their order.
 CONNECTION_CATEGORIES = ["protocol_type", "service", "flag", "new_label"]
 CONNECTION_VECTOR = [
     "duration",
@@ -64,14 +65,22 @@ def cluster_points(
 
 
 def pick_seeds(spark: SparkSession, source: str, target: str, k: int, seed: str = "0") -> None:
-    """Write k lines of a point file, drawn without replacement, as a seed file."""
+    """Write k lines of a point file, drawn without replacement, as a seed file.
+
+    Equal lines are numbered first, so that each copy has a chance of its own.
+    """
     lines = read_lines(spark, source)
-    sampling.sample_seeds(lines, "value", k, seed).coalesce(1).write.text(target)
+    copies = lines.groupBy("value").agg(F.count("*").alias("copies"))
+    numbered = copies.select("value", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    drawn = sampling.sample_seeds(numbered, ["value", "copy"], k, seed)
+    drawn.select("value").coalesce(1).write.text(target)
 
 
 def count_parity(spark: SparkSession, source: str) -> DataFrame:
     """Even and odd integers of a text file."""
-    numbers = columns.cast_columns(read_lines(spark, source), {"value": "decimal(38,0)"})
+    lines = read_lines(spark, source)
+    whole = lines.select(F.when(F.col("value").rlike(r"^\s*[+-]?[0-9]+\s*$"), F.col("value")).alias("value"))
+    numbers = columns.cast_columns(whole, {"value": "decimal(38,0)"})
     return aggregates.parity_count(numbers, "value")
 
 
@@ -143,19 +152,26 @@ def read_connections(
     )
 
 
-def study_connections(records: DataFrame, seed: int = 42) -> dict[str, DataFrame]:
-    """Group counts, byte densities and a linear SVM over connection records."""
-    fitted = features.fit_features(records, CONNECTION_CATEGORIES, CONNECTION_VECTOR)
-    ready = fitted.transform(records).select(
-        "new_label", F.col("new_label_indexed").alias("label_indexed"), "features"
+def study_connections(
+    records: DataFrame, seed: int = 42, invalid: str = "skip"
+) -> dict[str, DataFrame]:
+    """Group counts, byte densities and a linear SVM over connection records.
+
+    ``invalid`` says what becomes of records with a null feature: ``skip`` leaves them out of the
+    model and its scores (not out of the counts), ``error`` stops at one, ``keep`` takes them as NaN.
+    """
+    fitted = features.fit_features(
+        records, CONNECTION_CATEGORIES, CONNECTION_VECTOR, invalid=invalid
     )
-    train, test = sampling.split_random(ready, [0.8, 0.2], seed)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = models.fit_linear_svm(train)
-    finally:
-        train.unpersist()
-    scored = models.predict(model, test)
+
+    def ready(part: DataFrame) -> DataFrame:
+        return fitted.transform(part).select(
+            "new_label", F.col("new_label_indexed").alias("label_indexed"), "features"
+        )
+
+    # equal records stay on one side; MLlib keeps its own blocks of the training part
+    train, test = sampling.split_by_hash(records, records.columns, 0.8, str(seed))
+    scored = materialize(models.predict(models.fit_linear_svm(ready(train)), ready(test)), "scored")
     return {
         "protocols": aggregates.count_by(records, "protocol_type"),
         "services": aggregates.count_by(records, "service"),
@@ -222,8 +238,8 @@ def classify_comments(
         train.unpersist()
     test = fitted.vectors(test_text, "CONTENT").select("CLASS", "features")
     scored = {
-        "logistic": models.predict(logistic, test),
-        "forest": models.predict(forest, test),
+        "logistic": materialize(models.predict(logistic, test), "logistic"),
+        "forest": materialize(models.predict(forest, test), "forest"),
     }
     reports = {
         f"{name}_report": evaluation.classification_report(table, "CLASS")
