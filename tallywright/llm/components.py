@@ -30,7 +30,6 @@ def connected(edges: DataFrame, jumps: int = 2) -> DataFrame:
             return labels
         hooks = live.groupBy(F.col("hi").alias("child")).agg(F.min("lo").alias("parent"))
         for _ in range(jumps):
-            hooks = materialize(hooks, "hooks")
             upper = hooks.select(F.col("child").alias("parent"), F.col("parent").alias("above"))
             hooks = hooks.join(upper, "parent", "left").select(
                 "child", F.coalesce("above", "parent").alias("parent")

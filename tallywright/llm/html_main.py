@@ -22,7 +22,7 @@ from tallywright.llm.text_units import spare_name
 from tallywright.session import materialize
 
 #: Worth of a container's text one level further up, and the worth of semantic containers.
-DECAY, SEMANTIC = 0.8, 1.5
+DECAY, SEMANTIC = 0.6, 1.5
 #: A container with this share of the best one's worth votes too, with its share as weight.
 NEAR = 0.5
 

@@ -38,9 +38,9 @@ def test_recall_and_scores_of_the_query(spark):
 def test_awkward_vectors_ties_and_blocks(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.standard_normal(6)]) for i in range(300)]
-    rows += [(1000 + i, [1.0, 0, 0, 0, 0, 0]) for i in range(200)]  # one very common vector
-    rows += [(2000, None), (2001, [0.0] * 6), (2002, [1.0, None, 0, 0, 0, 0]), (2003, [math.nan] * 6),
-             (2004, [math.inf, 0, 0, 0, 0, 0]), (2005, []), (None, [1.0] * 6), (2006, [1.0, 2.0])]
+    rows += [(1000 + i, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]) for i in range(200)]  # one very common vector
+    rows += [(2000, None), (2001, [0.0] * 6), (2002, [1.0, None, 0.0]), (2003, [math.nan] * 6),
+             (2004, [math.inf, 0.0]), (2005, []), (None, [1.0] * 6), (2006, [1.0, 2.0])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id bigint, embedding array<double>, rank string")
     good = [(i, np.array(v)) for i, v in rows if i is not None and i < 2000 or i == 2006]
     asked = df.filter("vec_id in (0, 20, 1000, 1100, 2000, 2001, 2006)")

@@ -4,6 +4,7 @@ from llm_rows import awkward_docs, empty_docs, prose
 
 from tallywright.llm import components, simhash
 from tallywright.llm.queries import QUERIES
+from tallywright.session import materialize
 
 
 def brute_mark(text):
@@ -83,11 +84,11 @@ def test_tiles_lose_no_link(spark, monkeypatch):
     marks = sorted({int(m) for m in marks} | {0, 2**64 - 1, 1, 3})
     signed = [m - 2**64 if m >= 2**63 else m for m in marks]
     monkeypatch.setattr(simhash, "TILE", 16)
-    frame = spark.createDataFrame([(m,) for m in signed], "mark bigint")
-    edges = simhash.links(frame).collect()
+    found = materialize(simhash.links(spark.createDataFrame([(m,) for m in signed], "mark bigint")), "links")
+    edges = found.collect()
     assert len(edges) < 21 * len(marks)
     assert all(((e.a ^ e.b) % 2**64).bit_count() <= 2 for e in edges)
-    roots = {r.node % 2**64: r.root for r in components.connected(simhash.links(frame)).collect()}
+    roots = {r.node % 2**64: r.root for r in components.connected(found).collect()}
     expected = brute_components([(m, m) for m in marks])
     for m in marks:
         for n in marks:
@@ -96,8 +97,8 @@ def test_tiles_lose_no_link(spark, monkeypatch):
 
 
 def test_components_of_a_star_a_chain_and_a_loop(spark):
-    edges = [(0, k) for k in range(1, 300)] + [(1000 + k, 1001 + k) for k in range(200)] + [(5000, 5001), (5001, 5000), (7, 7)]
+    edges = [(0, k) for k in range(1, 300)] + [(1000 + k, 1001 + k) for k in range(40)] + [(5000, 5001), (5001, 5000), (7, 7)]
     got = {r.node: r.root for r in components.connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert {got[k] for k in range(300)} == {0}
-    assert {got[1000 + k] for k in range(201)} == {1000}
+    assert {got[1000 + k] for k in range(41)} == {1000}
     assert {got[5000], got[5001]} == {5000}
