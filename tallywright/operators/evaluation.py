@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, NumericType, StringType
 
 #: Classes that the grid of a confusion matrix, quadratic in their number, may have.
 MAX_CLASSES = 1_000
@@ -63,7 +62,8 @@ def classification_report(
     total = F.sum("support")
     summary = scores.agg(
         _checked(
-            F.collect_list(F.struct(F.col("class").cast("string").alias("class"), *names, "support"))
+            F.collect_list(F.struct(F.col("class").cast("string").alias("class"), *names, "support")),
+            F.count_if(F.col("class").isNull()),
         ).alias("classes"),
         total.alias("total"),
         (F.sum("hits") / total).alias("accuracy"),
@@ -116,14 +116,14 @@ def compare_models(
 
 
 def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Rows per (label, prediction); both as doubles, or else texts, if they differ in type."""
-    kind, other = df.schema[label].dataType, df.schema[prediction].dataType
-    if kind != other:
-        both = isinstance(kind, NumericType) and isinstance(other, NumericType)
-        kind = DoubleType() if both else StringType()
-    pairs = df.select(
-        F.col(label).cast(kind).alias("label"), F.col(prediction).cast(kind).alias("prediction")
-    )
+    """Rows per (label, prediction) in the label's type.
+
+    A prediction that the label's type cannot hold, such as 0.7 for whole labels, is no class: it
+    becomes null, and so a miss, never the class it would be rounded to.
+    """
+    held = F.col(prediction).try_cast(df.schema[label].dataType)
+    whole = F.when(held == F.col(prediction), held)
+    pairs = df.select(F.col(label).alias("label"), whole.alias("prediction"))
     return pairs.groupBy("label", "prediction").agg(F.count("*").alias("count"))
 
 
@@ -201,7 +201,7 @@ def _ratio(above: Column, below: Column) -> Column:
     return F.when(below == 0, 0.0).otherwise(above / below)
 
 
-def _checked(classes: Column) -> Column:
-    """Refuse a label column that is no class label; null may come on top of the classes."""
+def _checked(classes: Column, spare: Column | int = 0) -> Column:
+    """Refuse a label column that is no class label; ``spare`` entries may be null or no class."""
     message = F.lit(f"more than {MAX_CLASSES} classes")
-    return F.when(F.size(classes) > MAX_CLASSES + 1, F.raise_error(message)).otherwise(classes)
+    return F.when(F.size(classes) > F.lit(MAX_CLASSES) + spare, F.raise_error(message)).otherwise(classes)

@@ -45,10 +45,28 @@ def test_both_kernels_equal_brute_force(cloud, monkeypatch, features, limit):
         assert row.cid == int(np.argmin(distance))
 
 
-@pytest.mark.parametrize("limit", [1, 16])
-def test_both_means_agree(cloud, monkeypatch, limit):
+def test_kernels_agree_on_ties_and_malformed_points(spark, monkeypatch):
+    nan, inf = float("nan"), float("inf")
+    odd = [None, [], [1.0], [1.0, 2.0, 3.0], [nan, 1.0], [1.0, None], [inf, 0.0], [4.0, 4.0]]
+    grid = [[round(0.1 * i, 1), round(0.1 * j, 1)] for i in range(40) for j in range(40)]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(odd + grid)], "id int, x array<double>")
+    seeds = [(0, [0.3, 0.7]), (1, [0.7, 0.3]), (2, [2.1, 2.2])]
+    answers = []
+    for limit in (0, 10**9):
+        monkeypatch.setattr(C, "UNROLL_LIMIT", limit)
+        answers.append({r.id: r.cid for r in C.assign_nearest(df, seeds).collect()})
+    assert answers[0] == answers[1]
+    assert [answers[0][k] for k in range(len(odd))] == [None] * 7 + [2]
+
+
+def test_fit_reports_bad_points(spark):
+    df = spark.createDataFrame([([0.0, 0.0],), ([1.0],), (None,), ([2.0, 2.0],)], "x array<double>")
+    result = C.kmeans_fit(df, [(0, [0.0, 0.0])], 2)
+    assert result.bad_count() == 2 and result.centroids == [(0, [1.0, 1.0])]
+
+
+def test_mean_of_a_cluster(cloud):
     values, df = cloud
-    monkeypatch.setattr(C, "MEAN_COLUMNS_LIMIT", limit)
     got = {r.cid: (r.c, r.size) for r in C.recompute_centroids(
         df.withColumn("cid", F.lit(1)), "x", 2).collect()}
     assert np.allclose(got[1][0], values.mean(axis=0))

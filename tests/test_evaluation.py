@@ -59,6 +59,21 @@ def test_a_label_without_bounded_classes_is_refused(pairs, monkeypatch):
         evaluation.classification_report(pairs).collect()
 
 
+def test_allowed_classes_and_null_fill_the_whole_grid(spark, monkeypatch):
+    monkeypatch.setattr(evaluation, "MAX_CLASSES", 3)
+    sides = [None, 0, 1, 2]
+    df = spark.createDataFrame([(a, b) for a in sides for b in sides], "label int, prediction int")
+    assert evaluation.confusion_matrix(df).agg({"count": "sum"}).first()[0] == 16
+    assert evaluation.classification_report(df).count() == 4 + 3
+
+
+def test_a_prediction_between_classes_is_a_miss(spark):
+    df = spark.createDataFrame([(0, 0.7), (1, 1.0)], "label int, prediction double")
+    cells = {(r.label, r.prediction): r["count"] for r in evaluation.confusion_matrix(df).collect()}
+    assert cells[(1, 1)] == 1 and cells.get((0, 0), 0) == 0 and cells[(0, None)] == 1
+    assert evaluation.accuracy(df).first()[0] == 0.5
+
+
 def test_model_comparison(pairs):
     rows = evaluation.compare_models({"a": pairs, "b": pairs.filter("label = 0")}).collect()
     shares = {r.model: r.value for r in rows if r.measure == "accuracy"}

@@ -21,9 +21,24 @@ def test_exact_split_takes_the_lowest_hashes(spark, monkeypatch, rows, share, bl
     assert train.count() == rows - len(expected)
 
 
-def test_exact_split_refuses_a_repeated_key_at_the_cut(spark):
-    with pytest.raises(ValueError):
-        sampling.split_exact(spark.range(10).select(F.lit(1).alias("k")), "k", 0.5)
+def test_exact_split_of_repeated_keys(spark):
+    df = spark.range(200).select((F.col("id") % 3).alias("k"), "id")
+    for share in (0.1, 0.5, 0.9):
+        train, test = sampling.split_exact(df, "k", share)
+        assert test.count() == 200 * share
+        assert train.unionByName(test).distinct().count() == 200
+
+
+def test_null_and_composite_keys_are_kept_apart(spark):
+    df = spark.createDataFrame([(None, "1"), ("1", None), ("a|b", "c"), ("a", "b|c")], "x string, y string")
+    digests = df.select(sampling.hash_text(["x", "y"]).alias("d")).distinct()
+    assert digests.count() == 4 and digests.filter("d is null").count() == 0
+    rows = spark.range(100).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), "id")
+    one, two = sampling.split_by_hash(rows, "k", 0.5)
+    assert one.count() + two.count() == 100 and two.filter("k is null").count() == 0
+
+
+def test_exact_split_refuses_null_keys(spark):
     with pytest.raises(ValueError):
         sampling.split_exact(spark.range(10).select(F.lit(None).cast("int").alias("k")), "k", 0.5)
 
