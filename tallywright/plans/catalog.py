@@ -618,9 +618,8 @@ def recommend_for_users(spark, sf_dir):
     return models.recommend_for_users(models.fit_als(train), users, 12)
 
 
-def _feature_split(spark, sf_dir):
+def _feature_split(records):
     """Training and test rows; equal records stay on one side."""
-    records = _records(spark, sf_dir)
     fitted = features.fit_features(
         records, studies.CONNECTION_CATEGORIES, studies.CONNECTION_VECTOR
     )
@@ -631,21 +630,21 @@ def _feature_split(spark, sf_dir):
 
 @query
 def fit_linear_svm(spark, sf_dir):
-    train, test = _feature_split(spark, sf_dir)
+    train, test = _feature_split(_records(spark, sf_dir))
     scored = models.predict(models.fit_linear_svm(train), test)
     return scored.groupBy("new_label", "prediction").agg(F.count("*").alias("count"))
 
 
 @query
 def predict_connections(spark, sf_dir):
-    train, test = _feature_split(spark, sf_dir)
+    train, test = _feature_split(_records(spark, sf_dir))
     scored = models.predict(models.fit_linear_svm(train), test)
     raw = vector_to_array("rawPrediction")
     return scored.select("new_label", "prediction", F.get(raw, F.lit(1)).alias("raw"))
 
 
-def _comment_rows(spark, sf_dir):
-    ready = studies.prepare_comments(inputs.comments(spark, sf_dir).drop("doc_id"))
+def _comment_rows(comments):
+    ready = studies.prepare_comments(comments.drop("doc_id"))
     ready = materialize(ready, "comments")
     train, test = sampling.split_exact(ready, ["CONTENT", "CLASS"])
     fitted = features.fit_tfidf(ready, "CONTENT", 5000)
@@ -657,18 +656,89 @@ def _comment_rows(spark, sf_dir):
 
 @query
 def fit_logistic(spark, sf_dir):
-    train, test = _comment_rows(spark, sf_dir)
+    train, test = _comment_rows(inputs.comments(spark, sf_dir))
     scored = models.predict(models.fit_logistic(train, "CLASS"), test)
     return scored.select("CLASS", "prediction", vector_to_array("probability")[1].alias("share"))
 
 
 @query
 def fit_random_forest(spark, sf_dir):
-    train, test = _comment_rows(spark, sf_dir)
+    train, test = _comment_rows(inputs.comments(spark, sf_dir))
     model = models.fit_random_forest(train, "CLASS")
     return models.predict(model, test).select("CLASS", "prediction")
 
 
+# Models on a planted signal: what they must find, as facts that SQL can state
+
+
+def _learned(scored, label):
+    """True if the predictions beat the most frequent class by a tenth of the rows."""
+    counts = scored.groupBy(F.col(label).alias("label")).agg(
+        F.count("*").alias("n"), F.count_if(F.col(label) == F.col("prediction")).alias("hits")
+    )
+    total = F.sum("n")
+    return counts.agg((F.sum("hits") / total > F.max("n") / total + 0.1).alias("learned"))
+
+
+@query
+def split_random_parts(spark, sf_dir):
+    """Both parts of a random split together: every row once."""
+    rows = inputs.table(spark, sf_dir, "lineitem").select(*inputs.LINE_KEY)
+    train, test = sampling.split_random(rows, [0.8, 0.2], 42)
+    return train.unionByName(test).groupBy(*inputs.LINE_KEY).agg(F.count("*").alias("count"))
+
+
+@query
+def compare_splits_planted(spark, sf_dir):
+    """Ratings that are a number of the user times one of the item; the error falls below half their spread."""
+    product = (F.col("userId") % 3 + 1) * (F.col("movieId") % 2 + 1)
+    pairs = models.mean_ratings(inputs.raw_ratings(spark, sf_dir))
+    ratings = materialize(pairs.withColumn("rating", product.cast("double")), "ratings")
+    spread_ = ratings.agg(F.stddev("rating")).first()[0]
+    return models.compare_splits(ratings).select(
+        "train_share", (F.col("rmse") < 0.5 * spread_).alias("learned")
+    )
+
+
+@query
+def recommend_for_users_lists(spark, sf_dir):
+    """Items and ranks of each user's list, and whether its scores fall."""
+    scores = F.array_sort(F.collect_list(F.struct("rank", "score")))["score"]
+    return recommend_for_users(spark, sf_dir).groupBy("userId").agg(
+        F.countDistinct("movieId").alias("items"),
+        F.countDistinct("rank").alias("ranks"),
+        F.max("rank").alias("last_rank"),
+        (scores == F.reverse(F.array_sort(scores))).alias("falling"),
+    )
+
+
+@query
+def predict_connections_planted(spark, sf_dir):
+    """A label that follows from one numeric field."""
+    label = F.when(F.col("dst_bytes") > 25, "attack").otherwise("normal")
+    train, test = _feature_split(_records(spark, sf_dir).withColumn("new_label", label))
+    scored = models.predict(models.fit_linear_svm(train), test)
+    return _learned(scored, "label_indexed")
+
+
+def _planted_comments(spark, sf_dir):
+    """Comments whose class says whether they hold a common word."""
+    word = F.col("CONTENT").contains(" the ").cast("double")
+    return inputs.comments(spark, sf_dir).withColumn("CLASS", word)
+
+
+@query
+def fit_logistic_planted(spark, sf_dir):
+    train, test = _comment_rows(_planted_comments(spark, sf_dir))
+    return _learned(models.predict(models.fit_logistic(train, "CLASS"), test), "CLASS")
+
+
+@query
+def fit_random_forest_planted(spark, sf_dir):
+    train, test = _comment_rows(_planted_comments(spark, sf_dir))
+    return _learned(models.predict(models.fit_random_forest(train, "CLASS"), test), "CLASS")
+
+
 # Evaluation
 
 
