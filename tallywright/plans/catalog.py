@@ -700,18 +700,6 @@ def compare_splits_planted(spark, sf_dir):
     )
 
 
-@query
-def recommend_for_users_lists(spark, sf_dir):
-    """Items and ranks of each user's list, and whether its scores fall."""
-    scores = F.array_sort(F.collect_list(F.struct("rank", "score")))["score"]
-    return recommend_for_users(spark, sf_dir).groupBy("userId").agg(
-        F.countDistinct("movieId").alias("items"),
-        F.countDistinct("rank").alias("ranks"),
-        F.max("rank").alias("last_rank"),
-        (scores == F.reverse(F.array_sort(scores))).alias("falling"),
-    )
-
-
 @query
 def predict_connections_planted(spark, sf_dir):
     """A label that follows from one numeric field."""

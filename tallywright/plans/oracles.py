@@ -353,10 +353,6 @@ ORACLES: dict[str, str] = {
     "from lineitem group by all",
     "compare_splits_planted": f"""with {RATINGS} select s.train_share, count(*) > 0 as learned
       from ratings, (values (0.7::double), (0.8::double)) as s(train_share) group by 1""",
-    "recommend_for_users_lists": f"""with {TRAIN_TEST} select userId, least(12, n)::bigint as items,
-      least(12, n)::bigint as ranks, least(12, n)::int as last_rank, true as falling
-      from (select distinct userId from train where userId in (10, 12)),
-           (select count(distinct movieId) as n from train)""",
     "predict_connections_planted": "select count(distinct l_quantity > 25) = 2 as learned from lineitem",
     **{
         f"{name}_planted": "select count(distinct contains(text, ' the ')) = 2 as learned from documents"
