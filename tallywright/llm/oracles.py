@@ -6,6 +6,8 @@ lookup table, stopping by probability, entropy scans) are held against brute for
 
 from __future__ import annotations
 
+from tallywright.llm import divergence, licenses
+
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0b\x0c\r]+'), lambda x: x <> '')"
 
 _DOMAIN = r"""case when try_cast(nullif(regexp_extract(coalesce(source, ''), '([0-9]+)$', 1), '') as int) = 0 then 'web'
@@ -90,8 +92,88 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             or 10 * n_dup_lines > 3 * n_lines or 2 * upper_chars > word_chars or 2 * marks > n_words) as kept
 from j"""
 
+_LOWERED = f"translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
+
+
+def _phrase_places(phrase: str) -> str:
+    own = licenses.template_words(phrase)
+    test = " and ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(own))
+    return f"select r, '{licenses.PHRASES[phrase]}' as label, i - 1 as place from w, unnest(range(1, len(ws) + 1)) as u(i) where {test}"
+
+
+_TEMPLATES = ", ".join(
+    f"('{t.label}', [{', '.join(repr(w) for w in t.words)}], {t.overlap(licenses.CONTAINMENT)})"
+    for t in licenses.cut_templates(licenses.TEMPLATES)
+)
+# every block against every template, without any of the filters
+_OP11 = rf"""
+with w as (select row_number() over () as r, doc_id,
+                  list_filter(string_split_regex({_LOWERED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as ws
+           from documents),
+base as ({" union all ".join(_phrase_places(p) for p in licenses.PHRASES)}),
+b as (select r, count(*) as n, min(place) as first_word, max(place) as last_word,
+             string_agg(distinct label, ',' order by label) as base_labels from base group by 1),
+t as (select label, words, need, row_number() over () as k from (values {_TEMPLATES}) v(label, words, need)),
+tw as (select k, need, len(words) as size, label, unnest(words) as word from t),
+places as (select r, ws[i] as word, i - 1 as place, greatest(0, ceil((len(ws) - {licenses.BLOCK_WORDS}) / {licenses.STEP_WORDS}.0))::bigint as last
+       from w, unnest(range(1, len(ws) + 1)) as u(i)),
+own as (select distinct r, word, unnest([place // {licenses.STEP_WORDS} - k for k in range({licenses.BLOCK_WORDS // licenses.STEP_WORDS})]) as block, last
+        from places where word in (select word from tw)),
+hit as (select r, label, count(*) / size as containment from own join tw using (word) where block between 0 and last
+        group by r, block, k, label, size, need having count(*) >= need),
+h as (select r, list(distinct label) as more, max(containment) as best from hit group by 1)
+select w.doc_id, len(ws)::bigint as n_words, coalesce(b.n, 0)::bigint as n_base, first_word::bigint as first_word,
+       last_word::bigint as last_word, coalesce(base_labels, '') as base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(
+           coalesce(list_filter(string_split(base_labels, ','), lambda x: x <> ''), []), coalesce(more, [])))), ',') as labels,
+       case when b.n > 0 then 1.0 else coalesce(best, 0) end::double as score
+from w left join b using (r) left join h using (r)"""
+
+_SHARE = f"1 + ({divergence.WHOLE}::hugeint * ({{n}} + {divergence.SMOOTHING})) // ({{total}} + {divergence.SMOOTHING} * terms)"
+_OP12 = rf"""
+with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, {_LOWERED} as t from documents),
+w as (select r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+kept as (select lang, term, count(*) as whole_n from w group by 1, 2 having count(distinct r) >= {divergence.LEAST_DOCUMENTS}),
+n as (select lang, source, term, count(*) as n from w group by 1, 2, 3),
+langs as (select lang, count(*) as terms, sum(whole_n) as whole from kept group by 1),
+g as (select lang, source, coalesce(sum(n.n), 0) as total
+      from (select distinct lang, source from d) left join (n semi join kept using (lang, term)) n using (lang, source) group by 1, 2),
+p as (select lang, source, term, coalesce(n.n, 0) as n, ({_SHARE.format(n="coalesce(n.n, 0)", total="total")})::bigint as p,
+             ({_SHARE.format(n="whole_n", total="whole")})::bigint as q
+      from g join kept using (lang) join langs using (lang) left join n using (lang, source, term)),
+pairs as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+          from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+report as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(pairs.value, 0)::bigint as value
+         from g a join g b on a.lang = b.lang and a.source <> b.source
+         left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source
+         union all select lang, source, 'term', term, p - q from p where n > 0 and p > q)
+select lang, source, part, item, value, rank::int as rank
+from (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from report)
+where part = 'pair' or rank <= {divergence.TERM_RANKS}"""
+
+_OP13 = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)) as x
+           from embeddings
+           where vec_id is not null and label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+s as (select a.vec_id as anchor_id, a.label as own, b.vec_id as other_id, b.label,
+             cast(list_inner_product(a.x, b.x) as bigint) as score
+      from v a join v b on len(a.x) = len(b.x) and a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positive as (select * from (select *, row_number() over (partition by anchor_id order by score desc, other_id) as k from s where own = label)
+             where k <= 5)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score
+from (select p.anchor_id, p.other_id as positive_id, n.other_id as negative_id, p.score as positive_score, n.score as negative_score,
+             row_number() over (partition by p.anchor_id, p.other_id order by n.score desc, n.other_id) as rank
+      from positive p join s n on p.anchor_id = n.anchor_id and n.own <> n.label
+                               and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score)
+where rank <= 10"""
+
 ORACLES: dict[str, str] = {
     "op7_source_mix": _OP7,
     "op8_substring_dedup": _OP8,
     "op9_quality_rules": _OP9,
+    "op11_license_scans": _OP11,
+    "op12_source_divergence": _OP12,
+    "op13_hard_negatives": _OP13,
 }

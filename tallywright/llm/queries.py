@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallywright.llm import (
-    html_main, language_id, mixing, neighbours, packing, quality, secrets, sharding, simhash, substrings,
+    divergence, hard_negatives, html_main, language_id, licenses, mixing, neighbours, packing, quality, secrets, sharding,
+    simhash, substrings,
 )
 from tallywright.llm.text_units import words_of
 
@@ -92,6 +93,20 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
@@ -103,5 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scans": op10_secret_scans,
+    "op11_license_scans": op11_license_scans,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
