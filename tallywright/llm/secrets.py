@@ -14,6 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.llm.expressions import let, running, settled
 from tallywright.llm.text_units import spare_name
 
 # Kinds in the order in which they are listed, and their patterns.
@@ -63,77 +64,76 @@ ALLOWED = (
 
 def spans_of(text: Column, pattern: str, kind: int, least: int = 0, group: int = 0) -> Column:
     """Spans of all matches, left to right, whose group has at least so many characters."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    sizes = F.transform(matches, F.length)
+    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
     tested = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length) if group else sizes
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    steps = F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), tested.alias("tested"))
-    walked = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")),
-        lambda a, s: F.struct(
-            (a["at"] + s["gap"] + F.coalesce(s["size"], F.lit(0))).alias("at"),
-            F.when(
-                s["tested"] >= least,
-                F.concat(
-                    a["found"],
-                    F.array(
-                        F.struct(
-                            (a["at"] + s["gap"]).alias("start"),
-                            F.lit(kind).alias("kind"),
-                            (a["at"] + s["gap"] + s["size"]).alias("end"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(a["found"])
-            .alias("found"),
-        ),
-        lambda a: a["found"],
+    # the gap after the last match has no match of its own
+    steps = F.filter(
+        F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), tested.alias("tested")), lambda s: s["size"].isNotNull()
     )
-    return walked
+
+    def placed(steps: Column) -> Column:
+        passed = F.transform(steps, lambda s: s["gap"] + s["size"])
+        return let(
+            running(passed, F.lit(0), lambda at, step: at + step),
+            lambda ends: F.transform(
+                steps,
+                lambda s, i: F.struct(
+                    (F.get(ends, i) - s["size"]).alias("start"),
+                    F.lit(kind).alias("kind"),
+                    F.get(ends, i).alias("end"),
+                    s["tested"].alias("tested"),
+                ),
+            ),
+        )
+
+    found = F.filter(let(steps, placed), lambda s: s["tested"] >= least)
+    return F.transform(found, lambda s: F.struct(s["start"], s["kind"], s["end"]))
 
 
 def peak_entropy(string: Column, window: int = WINDOW) -> Column:
     """Largest Shannon entropy, in bits a character, of any window of the string.
 
     The sum of c * log2(c) over the window's characters is carried along: the character that
-    enters and the one that leaves change one count each. A string shorter than the window is one
-    window.
+    enters and the one that leaves change one count each, and both counts are taken among the
+    characters that stay, so a step costs the window's width however long the string is. A string
+    shorter than the window is one window.
     """
+    weights = [c * math.log2(c) if c else 0.0 for c in range(window + 1)]
+    # what one more of a character adds to the sum, by how many there are
+    more = F.lit([weights[c + 1] - weights[c] for c in range(window)])
+
+    def of(chars: Column) -> Column:
+        def count(part: Column, char: Column) -> Column:
+            return F.size(part) - F.size(F.array_remove(part, char))
+
+        def step(a: Column, i: Column) -> Column:
+            # the window held places i - window .. i - 1; place i enters, i - window leaves
+            stay = F.slice(chars, F.greatest(i - window + 2, F.lit(1)), F.least(i, F.lit(window - 1)))
+
+            def moved(stay: Column) -> Column:
+                drop = F.when(i >= window, F.get(more, count(stay, F.get(chars, i - window)))).otherwise(0.0)
+                return a["sum"] - drop + F.get(more, count(stay, F.get(chars, i)))
+
+            return let(
+                let(stay, moved),
+                lambda total: F.struct(
+                    total.alias("sum"),
+                    F.when(i >= F.least(F.size(chars), F.lit(window)) - 1, F.least(a["low"], total))
+                    .otherwise(a["low"])
+                    .alias("low"),
+                ),
+            )
 
-    def weight(count: Column) -> Column:
-        return F.when(count > 0, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
-
-    def count(part: Column, char: Column) -> Column:
-        return F.length(part) - F.length(F.replace(part, char, F.lit("")))
-
-    width = F.least(F.length(string), F.lit(window))
-
-    def step(a: Column, i: Column) -> Column:
-        # the window held places i - window .. i - 1 (1-based); place i enters, i - window leaves
-        leaves = i > window
-        oldest = F.substr(string, i - window, F.lit(1))
-        rest = F.when(leaves, F.substr(string, i - window + 1, F.lit(window - 1))).otherwise(
-            F.substr(string, F.lit(1), i - 1)
-        )
-        newest = F.substr(string, i, F.lit(1))
-        out = F.when(leaves, count(rest, oldest)).otherwise(F.lit(0))
-        drop = F.when(leaves, weight(out + 1) - weight(out)).otherwise(F.lit(0.0))
-        into = count(rest, newest)
-        total = a["sum"] - drop + weight(into + 1) - weight(into)
-        return F.struct(
-            total.alias("sum"),
-            F.when(i >= width, F.least(a["low"], total)).otherwise(a["low"]).alias("low"),
+        width = F.least(F.size(chars), F.lit(window)).cast("double")
+        return F.aggregate(
+            F.sequence(F.lit(0), F.size(chars) - 1),
+            F.struct(F.lit(0.0).alias("sum"), F.lit(1e308).alias("low")),
+            step,
+            lambda a: F.log2(width) - a["low"] / width,
         )
 
-    full = F.aggregate(
-        F.sequence(F.lit(1), F.length(string)),
-        F.struct(F.lit(0.0).alias("sum"), F.lit(1e308).alias("low")),
-        step,
-        lambda a: a["low"],
-    )
-    return F.log2(width.cast("double")) - full / width
+    return let(F.split(string, ""), of)
 
 
 def is_secret(
@@ -223,32 +223,41 @@ def scan_secrets(
             "secret_spans": F.array_sort(F.concat(*[F.col(f"{own}_{kind}") for kind in KINDS])),
         }
     )
-    df = df.withColumns(
+    df = settled(
+        df,
         {
+            "secret_spans": F.col("secret_spans"),
             "n_assign": F.size(f"{own}_assign").cast("long"),
             "n_access": F.size(f"{own}_access").cast("long"),
             "n_hex": F.size(f"{own}_hex").cast("long"),
             "base_sha256": F.sha2(_joined(F.col(base)), 256),
             "spans": _joined(F.col("secret_spans")),
-        }
+        },
     )
     return df.drop(base, whole, *[f"{own}_{kind}" for kind in KINDS])
 
 
 def redact(text: Column, spans: Column, mask: str = "[secret]") -> Column:
     """The text with every run of overlapping spans replaced by a mask; spans sorted by start."""
-    walked = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when(
-                (s["start"] >= a["at"]) & (s["end"] > s["start"]),
-                F.concat(a["out"], F.substr(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mask)),
+
+    def masked(chars: Column) -> Column:
+        def over(reach: Column) -> Column:
+            # a span that starts within the reach of those before it belongs to their run
+            heads = F.filter(
+                F.transform(
+                    spans,
+                    lambda s, i: F.struct(s["start"].alias("start"), F.coalesce(F.get(reach, i - 1), F.lit(0)).alias("before"), i.alias("i")),
+                ),
+                lambda s: (s["start"] >= s["before"]) & (F.get(reach, s["i"]) > s["before"]),
             )
-            .otherwise(a["out"])
-            .alias("out"),
-        ),
-    )
-    pieces = F.concat(walked["out"], F.substr(text, walked["at"] + 1))
-    return F.when(F.size(spans) == 0, text).otherwise(pieces)
+            pieces = F.transform(
+                heads,
+                lambda s: F.concat(F.array_join(F.slice(chars, s["before"] + 1, s["start"] - s["before"]), ""), F.lit(mask)),
+            )
+            rest = F.array_join(F.slice(chars, F.element_at(reach, -1) + 1, F.size(chars)), "")
+            return F.concat(F.array_join(pieces, ""), rest)
+
+        ends = F.transform(spans, lambda s: s["end"])
+        return let(running(ends, F.lit(0), lambda a, b: F.greatest(a, b)), over)
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(F.split(text, ""), masked))

@@ -2,12 +2,15 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
+from itertools import accumulate
 
 from llm_rows import awkward_docs, empty_docs, prose
 from pyspark.sql import functions as F
 
 from tallywright.llm import secrets
+from tallywright.llm.expressions import running
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -73,7 +76,43 @@ def test_random_strings_are_found_and_ordinary_ones_left(spark):
         return secrets.scan_secrets(df).select("text", "spans").collect()
 
     assert all(f"entropy:4:{len(r.text) - 5}" in r.spans for r in found(keys))
-    assert [r.spans for r in found(plain)] == [""] * len(plain)
+    # 25 characters from 0-9 and a-f are a hex span whatever their entropy, and no entropy span
+    assert [r.spans for r in found(plain)] == ["hex:4:29" if x.startswith("aaaa") else "" for x in plain]
+
+
+def test_very_long_strings_and_very_many_matches(spark):
+    rng = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = [
+        "".join(rng.choices(letters, k=1_000_000)),
+        " ".join("%024x" % rng.getrandbits(96) for _ in range(100_000)),
+        "a" * 1_000_000,
+        "token=abcdef " * 50_000,
+    ]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    started = time.perf_counter()
+    rows = {r.doc_id: r for r in secrets.scan_secrets(df).withColumn("masked", secrets.redact(F.col("text"), F.col("secret_spans"))).collect()}
+    assert time.perf_counter() - started < 90
+    assert "entropy:0:1000000" in rows[0].spans.split(",")
+    assert (rows[1].n_hex, rows[2].n_hex, rows[3].n_assign) == (100_000, 1, 50_000)
+    for k, text in enumerate(texts):
+        assert rows[k].base_sha256 == hashlib.sha256(joined(brute_base(text)).encode()).hexdigest()
+    assert rows[1].masked == " ".join(["[secret]"] * 100_000) and rows[3].masked == "[secret] " * 50_000
+
+
+def test_filters_on_the_result(spark):
+    df = spark.createDataFrame([(k, f"{prose(2_000, k)} token=abcdef0{k}") for k in range(20)], "doc_id bigint, text string")
+    found = secrets.scan_secrets(df)
+    assert found.filter("n_assign > 0 and spans != ''").count() == 20
+    assert found.filter("size(secret_spans) = 0 or n_hex > 0").count() == 0
+
+
+def test_running_totals(spark):
+    for n in (0, 1, 2, 3, 10, 17, 1000):
+        values = [(7 * k) % 11 - 3 for k in range(n)]
+        df = spark.createDataFrame([(values,)], "v array<int>")
+        got = df.select(running(F.col("v"), F.lit(0), lambda a, b: a + b), running(F.col("v"), F.lit(0), lambda a, b: F.greatest(a, b))).first()
+        assert got[0] == list(accumulate(values)) and got[1] == list(accumulate(values, max, initial=0))[1:]
 
 
 def test_masking(spark):
