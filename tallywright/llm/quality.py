@@ -15,15 +15,21 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.llm.expressions import settled
 from tallywright.llm.text_units import spare_name, words_of
 from tallywright.session import materialize
 
 #: Rows that costs and rejections are measured on, in expectation.
 SAMPLE_ROWS = 2_000
+#: Times a rule is evaluated on each of them.
+REPEATS = 10
 # Symbols counted, and the limits of the base rule.
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
+#: Columns that the scores add.
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rule", "kept")
+
 #: Low bits that hold a window's place when windows are sorted by hash; the rest is hash.
 PLACE_BITS = 24
 _PLACE_MASK = (1 << PLACE_BITS) - 1
@@ -150,7 +156,7 @@ def with_repeat_words(df: DataFrame, words: str, out: str) -> DataFrame:
         lambda a, x: F.struct((a["n"] + F.least(F.lit(3), x - a["last"])).alias("n"), x.alias("last")),
         lambda a: a["n"],
     )
-    return df.withColumn(out, covered).drop(hashes, packed, twice, spare)
+    return settled(df, {out: covered}).drop(hashes, packed, twice, spare)
 
 
 def default_rules(text: str, words: str, lines: str, symbols: str) -> list[Rule]:
@@ -172,21 +178,31 @@ def draw_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 7) -> Data
     The share follows from the row count, so that no task has to gather what others have drawn.
     """
     n = docs.count()
-    return materialize(docs.sample(min(1.0, rows / n), seed) if n > rows else docs, "quality-sample")
+    return docs.sample(min(1.0, rows / n), seed) if n > rows else docs
 
 
-def measure_rules(sample: DataFrame, rules: Sequence[Rule]) -> list[Measured]:
-    """Cost and rejection of each rule over the rows of a stored sample."""
-    measured = []
-    for rule in rules:
-        probe = sample.agg(F.count(F.lit(1)).alias("n"), F.count_if(rule.rejects).alias("bad"))
+def measure_rules(sample: DataFrame, rules: Sequence[Rule], repeats: int = REPEATS) -> list[Measured]:
+    """Cost and rejection of each rule over the rows of a stored sample.
+
+    A rule is evaluated ``repeats`` times a row; the time of a job that evaluates an empty rule as
+    often is taken off, so that starting a job and reading the sample do not count as the rule's.
+    """
+    again = sample.withColumn(spare_name(sample, "turn"), F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+
+    def timed(rejects: Column) -> tuple[float, int, int]:
+        probe = again.agg(F.count(F.lit(1)).alias("n"), F.count_if(rejects).alias("bad"))
         seconds = []
-        for _ in range(2):  # the first run also compiles
+        for _ in range(3):  # the first run also compiles
             started = time.perf_counter()
             row = probe.first()
             seconds.append(time.perf_counter() - started)
-        n = max(row["n"], 1)
-        measured.append(Measured(rule, min(seconds) / n, row["bad"] / n))
+        return min(seconds), row["n"], row["bad"]
+
+    idle, _, _ = timed(F.lit(False))
+    measured = []
+    for rule in rules:
+        seconds, n, bad = timed(rule.rejects)
+        measured.append(Measured(rule, max(seconds - idle, 0.0) / max(n, 1), bad / max(n, 1)))
     return measured
 
 
@@ -213,8 +229,7 @@ def score_quality(
     replaced. A null or empty text has no words and so fails the base rule; equal rows get equal
     verdicts; an empty table gives an empty one.
     """
-    added = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rule", "kept"}
-    kept = [c for c in docs.columns if c.lower() not in added]
+    kept = [c for c in docs.columns if c.lower() not in ADDED]
     words, lines = spare_name(docs, "words"), spare_name(docs, "lines")
 
     def with_parts(df: DataFrame) -> DataFrame:
@@ -223,7 +238,7 @@ def score_quality(
 
     parts = with_parts(docs.select(*[F.col(f"`{c}`") for c in kept]))
     rules = default_rules(text, words, lines, "n_symbols")
-    sample = materialize(with_parts(draw_sample(docs.select(F.col(f"`{text}`")), rows)), "quality-parts")
+    sample = materialize(with_parts(draw_sample(docs.select(F.col(f"`{text}`")), rows)), "quality-sample")
     rules = order_rules(measure_rules(sample, rules))
     counted = with_repeat_words(parts, words, "n_repeat_words").withColumns(
         {
@@ -239,4 +254,7 @@ def score_quality(
     judged = judged.withColumn(
         "failed_rule", F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(rules))
     )
-    return judged.withColumn("kept", F.col("failed_rule").isNull()).drop(words, lines)
+    return settled(
+        judged,
+        {**{c: F.col(c) for c in ADDED[:-1]}, "kept": F.col("failed_rule").isNull()},
+    ).drop(words, lines)

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 from collections import Counter
 
 from llm_rows import WORD, awkward_docs, empty_docs, prose
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallywright.llm import quality
 from tallywright.llm.text_units import words_of
+from tallywright.session import materialize
 
 
 def brute(text):
@@ -71,6 +74,36 @@ def test_clean_prose_stays_and_junk_goes(spark):
     assert kept == set(range(len(clean)))
 
 
+def test_filters_on_the_result_cost_no_more_than_the_result(spark):
+    rng = random.Random(6)
+    docs = [(k, prose(20_000, k) + " " + " ".join(rng.choices("a b c".split(), k=400))) for k in range(4)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    scored = quality.score_quality(df)
+    started = time.perf_counter()
+    assert scored.filter("kept").count() == 4
+    assert scored.filter("n_repeat_words > 10 and not base_failed").select("doc_id").count() == 4
+    assert scored.filter("failed_rule is not null or n_words < 3").count() == 0
+    assert time.perf_counter() - started < 60
+    plain, filtered = (len(x._jdf.queryExecution().optimizedPlan().toString()) for x in (scored, scored.filter("kept")))
+    assert filtered < plain + 500
+
+
+def test_a_dear_rule_comes_after_a_cheap_one_as_measured(spark):
+    df = spark.createDataFrame([(prose(400, k),) for k in range(200)], "text string").withColumn("w", words_of(F.col("text")))
+    sample = materialize(df, "sample")
+    digest = F.col("text")
+    for _ in range(12):
+        digest = F.sha2(F.concat(F.col("text"), digest), 512)
+    dear = quality.Rule("dear", (F.length(digest) > 0) & F.col("text").contains("ka"))
+    cheap = quality.Rule("cheap", F.col("text").contains("ka"))
+    never = quality.Rule("never", F.size("w") < 0)
+    measured = quality.measure_rules(sample, [dear, never, cheap])
+    cost = {m.rule.name: m.cost for m in measured}
+    share = {m.rule.name: m.rejection for m in measured}
+    assert cost["dear"] > 5 * cost["cheap"] and share["dear"] == share["cheap"] > 0.9 and share["never"] == 0
+    assert [r.name for r in quality.order_rules(measured)] == ["cheap", "dear", "never"]
+
+
 def test_no_python_runs(spark):
     plan = quality.score_quality(awkward_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
