@@ -1,9 +1,10 @@
 """Rabin-Karp hashes of all windows of words, over whole columns of texts at once.
 
 A polynomial over the bytes of each word gives the word's value; a polynomial over the values of a
-window's words gives the window's hash. Both are taken modulo 2**64 with an odd base, where prefix
-sums do the rolling: the hash of a range is the difference of two prefixes times an inverse power.
-Values are mixed between the two levels, so that no structure of the text carries over.
+window's words gives the window's hash. Both are taken modulo two primes below 2**31, which make a
+hash of 62 bits, and prefix sums do the rolling: the hash of a range is the difference of two
+prefixes times an inverse power. A prime modulus has no words that collide whatever the base is;
+whoever needs certainty compares the words all the same.
 """
 
 from __future__ import annotations
@@ -12,22 +13,36 @@ from functools import lru_cache
 
 import numpy as np
 
-BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+#: The primes, and for each a base for bytes and one for words.
+PRIMES = (2**31 - 1, 2**31 - 19)
+BYTE_BASES, WORD_BASES = (0x2545F491, 0x1B873593), (0x3C6EF372, 0x27D4EB2F)
 #: Bytes hashed at once; a piece ends between words.
 PIECE = 1 << 21
 
 
-@lru_cache(maxsize=4)
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(out)
+@lru_cache(maxsize=16)
+def powers(base: int, prime: int, n: int) -> np.ndarray:
+    """Powers 0 to n - 1 modulo the prime; ``n`` is rounded up to a power of two by the callers."""
+    out = np.ones(n, dtype=np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done += more
+    return out
+
+
+def room_for(n: int) -> int:
+    return max(PIECE, 1 << max(n, 1).bit_length())
 
 
-@lru_cache(maxsize=1)
-def byte_values() -> np.ndarray:
-    return mixed(np.arange(1, 257, dtype=np.uint64))
+def ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, prime: int) -> np.ndarray:
+    """The polynomial of each range of values (below 2**31), its first value having power 0."""
+    n = len(values)
+    p = np.uint64(prime)
+    prefix = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(values * powers(base, prime, room_for(n))[:n] % p, out=prefix[1:])  # n < 2**33 terms fit
+    return (prefix[ends] - prefix[starts]) % p * powers(pow(base, -1, prime), prime, room_for(n))[starts] % p
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -48,35 +63,28 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_values(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One mixed 64-bit value per word, equal for equal words."""
-    out = np.empty(len(starts), dtype=np.uint64)
-    inverse = pow(BYTE_BASE, -1, 1 << 64)
+    """Two numbers per word, one modulo each prime, equal for equal words."""
+    out = np.empty((len(PRIMES), len(starts)), dtype=np.uint64)
     at = 0
-    with np.errstate(over="ignore"):
-        while at < len(starts):
-            low = int(starts[at])
-            stop = max(at + 1, int(np.searchsorted(ends, low + PIECE, side="right")))
-            high = int(ends[stop - 1])
-            room = max(PIECE, 1 << (high - low).bit_length())
-            terms = byte_values()[data[low:high]] * powers(BYTE_BASE, room)[: high - low]
-            prefix = np.zeros(high - low + 1, dtype=np.uint64)
-            np.cumsum(terms, out=prefix[1:])
-            s, e = starts[at:stop] - low, ends[at:stop] - low
-            value = (prefix[e] - prefix[s]) * powers(inverse, room)[s]
-            out[at:stop] = mixed(value + (e - s).astype(np.uint64))
-            at = stop
+    while at < len(starts):
+        low = int(starts[at])
+        stop = max(at + 1, int(np.searchsorted(ends, low + PIECE, side="right")))
+        part = data[low : int(ends[stop - 1])].astype(np.uint64) + np.uint64(1)
+        s, e = starts[at:stop] - low, ends[at:stop] - low
+        for k, (base, prime) in enumerate(zip(BYTE_BASES, PRIMES, strict=True)):
+            out[k, at:stop] = ranges(part, s, e, base, prime)
+        at = stop
     return out
 
 
-def window_hashes(values: np.ndarray, width: int, base: int = WORD_BASE) -> np.ndarray:
-    """The hash of every ``width`` neighbouring values; documents are not told apart here."""
-    n = len(values) - width + 1
+def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
+    """The hash of every ``width`` neighbouring words; documents are not told apart here."""
+    n = values.shape[1] - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    out = np.zeros(n, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(width):
-            out *= np.uint64(base)
-            out += values[k : k + n]
-    return mixed(out)
-
+    starts = np.arange(n)
+    high, low = (
+        ranges(own, starts, starts + width, base, prime)
+        for own, base, prime in zip(values, WORD_BASES, PRIMES, strict=True)
+    )
+    return mixed(high << np.uint64(31) | low)

@@ -1,25 +1,32 @@
-"""Removal of repeated passages: rolling hashes of all word windows, matched in Spark.
+"""Removal of repeated passages: rolling hashes of all word windows, matched in Spark, then checked.
 
 Every window of a document is hashed (:mod:`rolling`). A task groups the windows of some documents
-by the leading bits of the hash, keeps the first of equal ones (later ones are repeats wherever the
-first turns out to be), and sends each group as one packed row. Groups of the same bits meet in
-one task, where equal hashes of different tasks are ordered by document and place: all but the
-first are repeats. Their places go back to the documents, where overlapping windows merge into
-maximal intervals.
+by the leading bits of the hash, keeps the first of equal ones and pairs each later one with it,
+and sends each group as one packed row. Groups of the same bits meet in one task, where equal
+hashes of different tasks are ordered by document and place: all but the first are paired with it.
+Neighbouring pairs of the same two documents merge into runs, which are few.
+
+Equal hashes are not taken for equal words: each run's words are digested (128 bits) on both of its
+sides, while the documents are cut by the runs, and the two digests are compared. Windows of runs
+that differ, and all windows that were paired with them, are told apart by their words, and their
+documents are cut again.
 
 A passage that a third of all documents share sends one window per task, not one per document, so
 no group is larger than its share of the hash space plus the number of tasks. Windows travel as
-about nine bytes each. Hashes have 64 bits and are not compared with the words again.
+about nine bytes each; where there are more groups than a task can fill rows for, they are dealt in
+two steps.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Iterator
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,35 +38,50 @@ WINDOW = 20
 #: Bytes of text whose windows a task packs at once, that one hash group may stand for, and that
 #: one group of documents may hold when passages are cut out.
 CHUNK_BYTES, GROUP_BYTES, PART_BYTES = 12 << 20, 6 << 20, 16 << 20
-#: Hash groups are a power of two of at least this number, so that 7 bytes hold the rest.
-LEAST_GROUPS = 256
-PACKED = "bucket long, n long, hashes binary, places binary, later_n long, later binary"
-REPEATS = "part int, n long, places binary"
+#: Hash groups are a power of two of at least this number, so that 7 bytes hold the rest; beyond
+#: ``FAN`` groups they are dealt in two steps, so that rows stay filled.
+LEAST_GROUPS, FAN = 256, 4096
+PACKED = "bucket long, dealer long, n long, hashes binary, places binary, later_n long, later binary"
+PAIRS = "part long, dealer long, n long, pairs binary"
+RUNS = "doc long, start long, windows long, first_doc long, first_start long"
+CUT = (
+    "row long, n_words long, intervals array<struct<start:int,end:int>>, kept string, "
+    "first_doc long, first_start long, words long, digest binary"
+)
+
+
+def _planes(*columns: np.ndarray) -> bytes:
+    """Columns as compressed differences, byte by byte."""
+    raw = b"".join(
+        np.ascontiguousarray(np.diff(c, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns
+    )
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _columns(packed: bytes, n: int, width: int) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(packed, max_output_size=8 * width * n or 1)
+    data = np.frombuffer(raw, np.uint8).reshape(width, 8, n)
+    return [np.cumsum(np.ascontiguousarray(plane.T).view("<i8").reshape(n)) for plane in data]
 
 
 def pack_places(docs: np.ndarray, starts: np.ndarray) -> bytes:
-    """Document ids and window starts, sorted, as compressed differences."""
-    same = np.zeros(len(docs), dtype=bool)
-    same[1:] = docs[1:] == docs[:-1]
-    steps = np.diff(starts, prepend=0)
-    steps = np.where(same, steps, starts)
-    planes = [np.diff(docs, prepend=0).astype("<i8"), steps.astype("<u4")]
-    raw = b"".join(np.ascontiguousarray(p.view(np.uint8).reshape(len(p), -1).T).tobytes() for p in planes)
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    """Document ids and window starts; dense if sorted."""
+    return _planes(docs, starts)
 
 
 def unpack_places(packed: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed, max_output_size=12 * n or 1), np.uint8)
-    docs = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view("<i8").reshape(n)
-    steps = np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view("<u4").reshape(n).astype(np.int64)
-    first = docs != 0
-    if n:
-        first[0] = True
-    docs = np.cumsum(docs)
-    total = np.cumsum(steps)
-    heads = np.flatnonzero(first)
-    base = total[heads] - steps[heads]
-    return docs, total - np.repeat(base, np.diff(np.append(heads, n)))
+    return tuple(_columns(packed, n, 2))
+
+
+def pack_pairs(pairs: np.ndarray) -> bytes:
+    """Rows (doc, start, first doc, first start); sorted, since neighbours mostly keep their distance."""
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    return _planes(pairs[:, 0], pairs[:, 1], pairs[:, 2], pairs[:, 3] - pairs[:, 1])
+
+
+def unpack_pairs(packed: bytes, n: int) -> np.ndarray:
+    doc, start, first_doc, step = _columns(packed, n, 4)
+    return np.stack([doc, start, first_doc, start + step], axis=1)
 
 
 def windows_of(docs: list[tuple[int, bytes]], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,13 +99,14 @@ def windows_of(docs: list[tuple[int, bytes]], window: int) -> tuple[np.ndarray,
     return hashes[inside], ids[owner], inside - first_word[owner]
 
 
-def later_ones(hashes: np.ndarray, docs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of first windows, and of later ones at another place than the first of their hash."""
+def later_ones(hashes: np.ndarray, docs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of first windows; rows of later ones at another place than the first of their hash; those firsts."""
     order = np.argsort(hashes, kind="stable")
     again = np.zeros(len(order), dtype=bool)
     again[1:] = hashes[order[1:]] == hashes[order[:-1]]
+    none = np.zeros(0, dtype=np.int64)
     if not again.any():
-        return np.arange(len(order)), np.zeros(0, dtype=np.int64)
+        return np.arange(len(order)), none, none
     group = again.copy()
     group[:-1] |= again[1:]
     rows = order[group]
@@ -92,37 +115,65 @@ def later_ones(hashes: np.ndarray, docs: np.ndarray, starts: np.ndarray) -> tupl
     new[1:] = hashes[rows[1:]] != hashes[rows[:-1]]
     head = rows[np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))]
     other = (docs[rows] != docs[head]) | (starts[rows] != starts[head])
-    return np.sort(np.concatenate([order[~group], rows[new]])), np.sort(rows[other])
+    return np.sort(np.concatenate([order[~group], rows[new]])), rows[other], head[other]
+
+
+def paired(docs: np.ndarray, starts: np.ndarray, later: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.stack([docs[later], starts[later], docs[first], starts[first]], axis=1)
 
 
-def packer(window: int, groups: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _split(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows of each key."""
+    order = np.argsort(keys, kind="stable")
+    names, at = np.unique(keys[order], return_index=True)
+    return zip(names.tolist(), np.split(order, at[1:]), strict=True) if len(keys) else iter(())
+
+
+def _packed_rows(
+    hashes: np.ndarray, docs: np.ndarray, starts: np.ndarray, pairs: np.ndarray, pair_hashes: np.ndarray, bits: int, dealer: int
+) -> pa.Table:
+    """Windows and known pairs as one row for each value of the leading bits of the hash."""
+    shift = np.uint64(64 - bits)
+    low = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
+    more = dict(_split((pair_hashes >> shift).astype(np.int64)))
+    out = []
+    for name, rows in _split((hashes >> shift).astype(np.int64)):
+        own = pairs[more[name]] if name in more else pairs[:0]
+        out.append((name, dealer, len(rows), low[rows].tobytes(), pack_places(docs[rows], starts[rows]),
+                    len(own), pack_pairs(own) if len(own) else b""))
+    names = ["bucket", "dealer", "n", "hashes", "places", "later_n", "later"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
+    columns = list(zip(*out, strict=True)) or [()] * len(names)
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def _windows(rows: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, documents and starts of packed rows of one length of leading bits."""
+    hashes, docs, starts = [], [], []
+    for row in rows.select(["bucket", "n", "hashes", "places"]).to_pylist():
+        wide = np.zeros((row["n"], 8), dtype=np.uint8)
+        wide[:, :7] = np.frombuffer(row["hashes"], np.uint8).reshape(-1, 7)
+        hashes.append(wide.view("<u8").reshape(-1).astype(np.uint64) | np.uint64(row["bucket"] >> (bits - 8) << 56))
+        d, s = unpack_places(row["places"], row["n"])
+        docs.append(d)
+        starts.append(s)
+    return np.concatenate(hashes), np.concatenate(docs), np.concatenate(starts)
+
+
+def _pairs(rows: pa.Table, n: str, packed: str) -> np.ndarray:
+    found = [unpack_pairs(p, k) for k, p in zip(rows[n].to_pylist(), rows[packed].to_pylist(), strict=True) if k]
+    return np.concatenate(found) if found else np.zeros((0, 4), dtype=np.int64)
+
+
+def packer(window: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The task that turns documents (id, text bytes) into packed hash groups."""
-    bits = groups.bit_length() - 1
 
-    def pack(docs: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    def pack(docs: list[tuple[int, bytes]]) -> list[pa.RecordBatch]:
         hashes, ids, starts = windows_of(docs, window)
-        first, later = later_ones(hashes, ids, starts)
-        bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-        low = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
-        sides = []
-        for rows in (first, later):
-            rows = rows[np.argsort(bucket[rows], kind="stable")]
-            names, at = np.unique(bucket[rows], return_index=True)
-            sides.append(dict(zip(names.tolist(), np.split(rows, at[1:]), strict=True)) if len(rows) else {})
-        none = np.zeros(0, dtype=np.int64)
-        out = []
-        for name in sorted(sides[0]):
-            mine, more = sides[0][name], sides[1].get(name, none)
-            out.append(
-                (name, len(mine), low[mine].tobytes(), pack_places(ids[mine], starts[mine]),
-                 len(more), pack_places(ids[more], starts[more]) if len(more) else b"")
-            )
-        if out:
-            names = ["bucket", "n", "hashes", "places", "later_n", "later"]
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
-            yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names
-            )
+        first, later, head = later_ones(hashes, ids, starts)
+        pairs = paired(ids, starts, later, head)
+        dealer = xxhash.xxh32_intdigest(str(docs[0][0]))
+        return _packed_rows(hashes[first], ids[first], starts[first], pairs, hashes[later], bits, dealer).to_batches()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[int, bytes]] = []
@@ -141,78 +192,166 @@ def packer(window: int, groups: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
     return task
 
 
-def matcher(parts: int) -> Callable[[pa.Table], pa.Table]:
-    """The task that finds the repeats in one hash group, packed by the part of their document."""
-
-    def match(group: pa.Table) -> pa.Table:
-        hashes, docs, starts, known = [], [], [], []
-        for row in group.to_pylist():
-            wide = np.zeros((row["n"], 8), dtype=np.uint8)
-            wide[:, :7] = np.frombuffer(row["hashes"], np.uint8).reshape(-1, 7)
-            hashes.append(wide.view("<u8").reshape(-1))
-            d, s = unpack_places(row["places"], row["n"])
-            docs.append(d)
-            starts.append(s)
-            if row["later_n"]:
-                known.append(unpack_places(row["later"], row["later_n"]))
-        h, d, s = np.concatenate(hashes), np.concatenate(docs), np.concatenate(starts)
-        _, later = later_ones(h, d, s)
-        d = np.concatenate([d[later], *[k[0] for k in known]])
-        s = np.concatenate([s[later], *[k[1] for k in known]])
-        order = np.lexsort((s, d))
-        d, s = d[order], s[order]
-        part = part_of(d, parts)
-        order = np.argsort(part, kind="stable")
-        names, at = np.unique(part[order], return_index=True)
-        out = [(int(p), len(r), pack_places(d[r], s[r])) for p, r in zip(names, np.split(order, at[1:]), strict=True)] if len(d) else []
-        columns = list(zip(*out, strict=True)) or [(), (), ()]
-        kinds = [pa.int32(), pa.int64(), pa.binary()]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["part", "n", "places"])
+def redealer(old: int, new: int) -> Callable[[pa.Table], pa.Table]:
+    """The task that deals packed groups of ``old`` leading bits by ``new`` ones.
+
+    It pairs equal hashes on the way, as the first task does.
+    """
+
+    def deal(rows: pa.Table) -> pa.Table:
+        hashes, docs, starts = _windows(rows, old)
+        first, later, head = later_ones(hashes, docs, starts)
+        known = _pairs(rows, "later_n", "later")
+        pairs = np.concatenate([paired(docs, starts, later, head), known])
+        # known pairs need no hash any more: they ride along with some window of this group
+        riding = np.concatenate([hashes[later], np.full(len(known), hashes[0], dtype=np.uint64)])
+        return _packed_rows(hashes[first], docs[first], starts[first], pairs, riding, new, rows["dealer"][0].as_py())
+
+    return deal
+
+
+def matcher(parts: int, deal: int) -> Callable[[pa.Table], pa.Table]:
+    """The task that pairs equal hashes of one group, dealt by the part of their document."""
+
+    def match(rows: pa.Table) -> pa.Table:
+        bits = LEAST_GROUPS.bit_length() - 1  # all rows have one bucket, its low bits do not matter here
+        hashes, docs, starts = _windows(rows.set_column(0, "bucket", pa.array(np.zeros(rows.num_rows, np.int64))), bits)
+        _, later, head = later_ones(hashes, docs, starts)
+        pairs = np.concatenate([paired(docs, starts, later, head), _pairs(rows, "later_n", "later")])
+        return _by_part(pairs, parts, deal, rows["bucket"][0].as_py())
 
     return match
 
 
+def part_dealer(parts: int) -> Callable[[pa.Table], pa.Table]:
+    """The task that deals the pairs of some parts to each of them."""
+    return lambda rows: _by_part(_pairs(rows, "n", "pairs"), parts, parts, rows["dealer"][0].as_py())
+
+
+def _by_part(pairs: np.ndarray, parts: int, deal: int, dealer: int) -> pa.Table:
+    """One row for each part, or for each remainder of the part's number if there are more than ``deal``."""
+    out = [(int(p), dealer, len(r), pack_pairs(pairs[r])) for p, r in _split(part_of(pairs[:, 0], parts) % deal)]
+    columns = list(zip(*out, strict=True)) or [()] * 4
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["part", "dealer", "n", "pairs"])
+
+
 def part_of(docs: np.ndarray, parts: int) -> np.ndarray:
-    """The part of each document id."""
-    return (docs % parts).astype(np.int64)
+    """The part of each document id: its bits mixed, so that ids with a common stride spread."""
+    return (rolling.mixed(docs.astype(np.int64).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
+def run_former(rows: pa.Table) -> pa.Table:
+    """The runs of the pairs of one part: neighbouring windows paired at one distance."""
+    pairs = np.unique(_pairs(rows, "n", "pairs"), axis=0)
+    step = pairs[:, 3] - pairs[:, 1]
+    pairs = pairs[np.lexsort((pairs[:, 1], step, pairs[:, 2], pairs[:, 0]))]
+    step = pairs[:, 3] - pairs[:, 1]
+    new = np.ones(len(pairs), dtype=bool)
+    new[1:] = (
+        (pairs[1:, 0] != pairs[:-1, 0]) | (pairs[1:, 2] != pairs[:-1, 2])
+        | (step[1:] != step[:-1]) | (pairs[1:, 1] != pairs[:-1, 1] + 1)
+    )
+    heads = np.flatnonzero(new)
+    size = np.diff(np.append(heads, len(pairs)))
+    columns = [pairs[heads, 0], pairs[heads, 1], size, pairs[heads, 2], pairs[heads, 3]]
+    return pa.table([pa.array(c) for c in columns], ["doc", "start", "windows", "first_doc", "first_start"])
+
+
+def merged(starts: np.ndarray, ends: np.ndarray) -> list[dict]:
+    """Maximal intervals of ranges sorted by start; ranges that touch are joined."""
+    if not len(starts):
+        return []
+    reach = np.maximum.accumulate(ends)
+    heads = np.flatnonzero(np.r_[True, starts[1:] > reach[:-1]])
+    return [{"start": int(starts[a]), "end": int(b)} for a, b in zip(heads, reach[np.append(heads[1:], len(starts)) - 1], strict=True)]
 
 
 def cutter(window: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The task that merges the repeats of some documents and cuts them out."""
+    """The task that cuts runs out of some documents and digests the words of runs.
+
+    Asked: (doc, start, words, first_doc, first_start, cut); a run is cut out of the document where
+    ``cut`` is true. Its digest is named by the place that the run is paired with.
+    """
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    schema = pa.schema([("row", pa.int64()), ("n_words", pa.int64()), ("intervals", span), ("kept", pa.string())])
+    long = pa.int64()
+    schema = pa.schema([("row", long), ("n_words", long), ("intervals", span), ("kept", pa.string()),
+                        ("first_doc", long), ("first_start", long), ("words", long), ("digest", pa.binary())])
 
-    def cut(texts: pa.Table, repeats: pa.Table) -> pa.Table:
-        places = [unpack_places(r["places"], r["n"]) for r in repeats.to_pylist()]
-        d = np.concatenate([p[0] for p in places]) if places else np.zeros(0, dtype=np.int64)
-        s = np.concatenate([p[1] for p in places]) if places else np.zeros(0, dtype=np.int64)
+    def cut(texts: pa.Table, asked: pa.Table) -> pa.Table:
+        d, s, m, fd, fs = (asked[c].to_numpy() for c in ("doc", "start", "words", "first_doc", "first_start"))
+        own = np.asarray(asked["cut"].to_pylist(), dtype=bool)
         order = np.lexsort((s, d))
-        d, s = d[order], s[order]
+        d, s, m, fd, fs, own = (c[order] for c in (d, s, m, fd, fs, own))
         out = []
         for doc_id, text in zip(texts["doc"].to_pylist(), texts["text"], strict=True):
             words = (text.as_py() or b"").split()
-            spans: list[dict] = []
-            if doc_id is not None:
-                low, high = np.searchsorted(d, [doc_id, doc_id + 1])
-                own = s[low:high]
-                own = own[own + window <= len(words)]
-                if len(own):
-                    breaks = np.flatnonzero(own[1:] > own[:-1] + window) + 1
-                    heads, tails = own[np.r_[0, breaks]], own[np.r_[breaks - 1, len(own) - 1]] + window
-                    spans = [{"start": int(a), "end": int(b)} for a, b in zip(heads, tails, strict=True)]
-                    keep = np.ones(len(words), dtype=bool)
-                    for one in spans:
-                        keep[one["start"] : one["end"]] = False
-                    kept = b" ".join(compress(words, keep.tolist()))
-            if not spans:
+            low, high = np.searchsorted(d, [doc_id, doc_id + 1])
+            # of rows that share an id one may be shorter
+            near = low + np.flatnonzero(s[low:high] + m[low:high] <= len(words))
+            for k in near.tolist():
+                digest = hashlib.blake2b(b" ".join(words[s[k] : s[k] + m[k]]), digest_size=16).digest()
+                out.append((None, None, None, None, int(fd[k]), int(fs[k]), int(m[k]), digest))
+            gone = near[own[near]]
+            spans = merged(s[gone], s[gone] + m[gone])
+            if spans:
+                keep = np.ones(len(words), dtype=bool)
+                for one in spans:
+                    keep[one["start"] : one["end"]] = False
+                kept = b" ".join(compress(words, keep.tolist()))
+            else:
                 kept = b" ".join(words)
-            out.append((doc_id, len(words), spans, kept.decode()))
-        columns = list(zip(*out, strict=True)) or [()] * 4
+            out.append((doc_id, len(words), spans, kept.decode(), None, None, None, None))
+        columns = list(zip(*out, strict=True)) or [()] * len(schema)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return cut
 
 
+def _cut(texts: DataFrame, asked: DataFrame, parts: int, window: int) -> DataFrame:
+    part = F.pmod(F.xxhash64("doc"), F.lit(parts)).alias("part")
+    left = texts.select(part, "doc", "text").groupBy("part")
+    return left.cogroup(asked.select("*", part).groupBy("part")).applyInArrow(cutter(window), CUT)
+
+
+def _windows_of_runs(runs: DataFrame) -> DataFrame:
+    step = F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1)).alias("step")
+    return runs.select("doc", "start", "first_doc", "first_start", step).select(
+        "doc", (F.col("start") + F.col("step")).alias("start"),
+        "first_doc", (F.col("first_start") + F.col("step")).alias("first_start"),
+    )
+
+
+def told_apart(pairs: DataFrame, bad: DataFrame, texts: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """What becomes of windows whose hashes were equal though their words were not.
+
+    Returns the places of all windows of such groups, and those of them that are repeats. ``pairs``
+    are all pairs, ``bad`` those that failed. A window is paired with the first of its task's
+    windows, that one perhaps with the first of all, so a group is found in a few steps.
+    """
+    places = bad.select("doc", "start").union(bad.select("first_doc", "first_start")).distinct()
+    places = materialize(places, "places")
+    size = places.count()
+    while True:
+        first = places.select(F.col("doc").alias("first_doc"), F.col("start").alias("first_start"))
+        touched = pairs.join(places, ["doc", "start"], "left_semi").union(
+            pairs.join(first, ["first_doc", "first_start"], "left_semi").select(*pairs.columns)
+        )
+        more = touched.select("doc", "start").union(touched.select("first_doc", "first_start"))
+        places = materialize(places.union(more).distinct(), "places")
+        if (grown := places.count()) == size:
+            break
+        size = grown
+    words = F.split(F.decode("text", "utf-8"), r"[\x20\x09-\x0D]+")
+    own = texts.join(places.select("doc").distinct(), "doc", "left_semi")
+    split = own.select("doc", F.array_remove(words, "").alias("words")).join(places, "doc")
+    text = F.array_join(F.slice("words", F.col("start").cast("int") + 1, F.lit(window)), " ")
+    named = materialize(split.select("doc", "start", F.sha2(text, 256).alias("digest")), "window-words")
+    first = named.groupBy("digest").agg(F.min(F.struct("doc", "start")).alias("first"))
+    later = named.join(first, "digest").filter(F.struct("doc", "start") > F.col("first"))
+    return places, later.select("doc", "start").distinct()
+
+
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW
 ) -> DataFrame:
@@ -223,8 +362,9 @@ def remove_repeats(
     in words from 0, ends exclusive; ``kept`` joins the other words by blanks. Words are separated
     by ASCII blanks; a null text has none, a text shorter than the window loses none. Keys are
     whole numbers and should be unique: rows that share key and text count as one document and are
-    each returned. Rows with a null key are returned whole and are nobody's earlier copy. Other
-    columns are not carried.
+    each returned; of rows that share a key alone, each is cut where any of them repeats something.
+    Rows with a null key are returned whole and are nobody's earlier copy. Other columns are not
+    carried. The number of groups follows from the bytes of text, which one scan adds up.
     """
     if window < 1:
         raise ValueError("window from 1")
@@ -233,13 +373,48 @@ def remove_repeats(
         F.encode(F.col(f"`{text}`").cast("string"), "utf-8").alias("text"),
     )
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(LEAST_GROUPS, 1 << math.ceil(math.log2(max(size / GROUP_BYTES, 1))))
+    bits = math.ceil(math.log2(max(size / GROUP_BYTES, LEAST_GROUPS)))
     parts = max(1, math.ceil(size / PART_BYTES))
-    known = slim.filter(F.col("doc").isNotNull() & F.col("text").isNotNull())
-    packed = known.mapInArrow(packer(window, groups), PACKED)
-    repeats = materialize(packed.groupBy("bucket").applyInArrow(matcher(parts), REPEATS), "repeats")
-    part = F.pmod(F.coalesce("doc", F.xxhash64("text")), F.lit(parts)).cast("int").alias("part")
-    texts = slim.select(part, "doc", "text").groupBy("part")
-    found = "row long, n_words long, intervals array<struct<start:int,end:int>>, kept string"
-    cut = texts.cogroup(repeats.groupBy("part")).applyInArrow(cutter(window), found)
-    return cut.withColumnRenamed("row", key)
+    known = slim.filter(F.col("doc").isNotNull())
+    coarse = min(bits, FAN.bit_length() - 1)
+    packed = known.filter(F.col("text").isNotNull()).mapInArrow(packer(window, coarse), PACKED)
+    if bits > coarse:
+        # as many tasks share a coarse group as it takes for each to fill its rows
+        share = F.pmod("dealer", F.lit(max(1, math.ceil(size / CHUNK_BYTES / 2**coarse)))).alias("share")
+        packed = packed.groupBy("bucket", share).applyInArrow(redealer(coarse, bits), PACKED)
+    deal = min(parts, FAN)
+    pairs = packed.groupBy("bucket").applyInArrow(matcher(parts, deal), PAIRS)
+    if parts > deal:
+        share = F.pmod("dealer", F.lit(math.ceil(2**bits / FAN))).alias("share")
+        pairs = pairs.groupBy("part", share).applyInArrow(part_dealer(parts), PAIRS)
+    runs = materialize(pairs.groupBy("part").applyInArrow(run_former, RUNS), "runs")
+    runs = runs.withColumn("words", F.col("windows") + (window - 1))
+    # what very many documents share is asked of the first of them once
+    firsts = runs.select("first_doc", "first_start", "words").distinct()
+    asked = runs.select("doc", "start", "words", "first_doc", "first_start", F.lit(True).alias("cut")).union(
+        firsts.select("first_doc", "first_start", "words", "first_doc", "first_start", F.lit(False))
+    )
+    cut = materialize(_cut(known, asked, parts, window), "cut")
+    place = ["first_doc", "first_start", "words"]
+    told = cut.filter("digest is not null").groupBy(*place).agg(F.min("digest").alias("a"), F.max("digest").alias("b"))
+    unequal = materialize(told.filter("a != b").select(*place), "unequal-runs")
+    rows = cut.filter("digest is null").select("row", "n_words", "intervals", "kept")
+    if not unequal.isEmpty():
+        pairs = _windows_of_runs(runs)
+        bad = _windows_of_runs(runs.join(unequal, place, "left_semi"))
+        places, later = told_apart(pairs, bad, known, window)
+        again = materialize(places.select("doc").distinct(), "cut-again")
+        left = pairs.join(again, "doc", "left_semi").select("doc", "start").join(places, ["doc", "start"], "left_anti")
+        asked = left.union(later).distinct().select(
+            "doc", "start", F.lit(window).cast("long").alias("words"),
+            F.col("doc").alias("first_doc"), F.col("start").alias("first_start"), F.lit(True).alias("cut"),
+        )
+        mended = _cut(known.join(again, "doc", "left_semi"), asked, parts, window).filter("digest is null")
+        others = rows.join(again.withColumnRenamed("doc", "row"), "row", "left_anti")
+        rows = others.unionByName(mended.select("row", "n_words", "intervals", "kept"))
+    # rows without a key have no place in the order, so they are not compared
+    nothing = F.array().cast("array<struct<start:int,end:int>>")
+    apart = slim.filter(F.col("doc").isNull()).select(F.col("doc").alias("row"), F.coalesce(F.decode("text", "utf-8"), F.lit("")).alias("text"))
+    split = apart.select("row", F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "").alias("words"))
+    whole = split.select("row", F.size("words").cast("long").alias("n_words"), nothing.alias("intervals"), F.array_join("words", " ").alias("kept"))
+    return rows.unionByName(whole).withColumnRenamed("row", key)
