@@ -65,5 +65,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     outlive the executors that wrote them.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
