@@ -1,20 +1,26 @@
 """Main text of web pages by consensus of each host's pages.
 
 Every page is read once to score its containers: each is worth the text in it outside links and
-outside boilerplate, less for every level in between. Containers near a page's best vote for their
+outside boilerplate, less for every level in between. A page's best container votes for its
 generalised path (tags and classes from the root down, digits left out). Votes are summed per host
 and path in Spark; the path with most votes wins. On the second reading the elements at the
 winning path give the page's text; a page without such an element uses its own best container.
+
+Pages are read in time and memory in proportion to their length, however broken they are: tags are
+scanned by hand, an element knows its parent and a digest of its path, and what was searched in
+vain once is not searched again.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +29,8 @@ from tallywright.session import materialize
 
 #: Worth of a container's text one level further up, and the worth of semantic containers.
 DECAY, SEMANTIC = 0.6, 1.5
-#: A container with this share of the best one's worth votes too, with its share as weight.
-NEAR = 0.5
+#: Parts that the pages of a host are dealt into where they meet its winning path.
+SALTS = 16
 
 # HTML element names by what they mean for text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,39 +57,79 @@ OF_ARTICLE = frozenset("article post entry story content main".split())
 WRAPPERS = frozenset("has with no is without".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>",
-    re.DOTALL,
-)
-ATTRIBUTE = re.compile(
-    r"(?:^|(?<=[\s\"'/]))(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?(?=[\s/\"']|$)",
-    re.IGNORECASE,
-)
+OPENING = re.compile(r"<(?=[a-zA-Z/!?])")
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+TAG_MARK = re.compile("[>\"']")
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+# Attributes that tell boilerplate.
+TELLING = frozenset("class id role hidden style aria-hidden".split())
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
 class Element(NamedTuple):
-    """An open element: its path, whether it is boilerplate, and its number on the page."""
+    """An element: a digest of its path, its parent's number (-1 for none), whether it is boilerplate."""
 
     tag: str
     path: str
+    parent: int
     dropped: bool
-    number: int
     main: bool
 
 
 class Block(NamedTuple):
-    """A run of text between block boundaries: its elements from the root, and its link share."""
+    """A run of text between block boundaries: its innermost element, and how much of it is links."""
 
     text: str
-    owners: tuple[int, ...]
+    owner: int
     linked: int
 
 
+class Scanner:
+    """Finds the ends of tags and elements of a page; a search that failed once is not done again."""
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.last_gt = source.rfind(">")
+        self.last_quote = {q: source.rfind(q) for q in "\"'"}
+        self.failed: set[int] = set()
+        self.unclosed: set[str] = set()
+
+    def tag_end(self, start: int) -> int:
+        """Place after the tag that begins before ``start``, -1 if it has no end.
+
+        Quoted values may hold ``>``; a tag with an unclosed quote ends at its first ``>``.
+        """
+        at, seen = start, []
+        while at <= self.last_gt and at not in self.failed:
+            seen.append(at)
+            mark = TAG_MARK.search(self.source, at)
+            if mark[0] == ">":
+                return mark.end()
+            if mark.start() >= self.last_quote[mark[0]]:
+                break
+            at = self.source.index(mark[0], mark.end()) + 1
+        # whatever starts at one of these places ends here too
+        self.failed.update(seen)
+        return self.source.find(">", start) + 1 or -1
+
+    def element_end(self, tag: str, start: int, else_end: bool) -> int:
+        """Place after the end tag of an element; without one the end of the page, or -1."""
+        if tag not in self.unclosed:
+            found = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(self.source, start)
+            if found and found.end() <= self.last_gt:
+                return self.source.index(">", found.end()) + 1
+            self.unclosed.add(tag)
+        return len(self.source) if else_end else -1
+
+
 def attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): html.unescape((m[2] or "").strip("\"'")) for m in ATTRIBUTE.finditer(text)}
+    """The telling attributes of a tag; the first of equal names counts."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(text):
+        if m[1].lower() in TELLING:
+            found.setdefault(m[1].lower(), html.unescape((m[2] or "").strip("\"'")))
+    return found
 
 
 def is_boilerplate(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
@@ -119,117 +165,152 @@ def step_of(tag: str, attrs: dict[str, str]) -> str:
 
 def read_page(source: str) -> tuple[list[Element], list[Block]]:
     """The containers and the kept text blocks of a page, in page order; tag soup is allowed."""
-    stack: list[Element] = [Element("", "", False, -1, False)]
+    scan = Scanner(source)
     elements: list[Element] = []
+    stack: list[int] = []
+    open_tags: Counter[str] = Counter()
     blocks: list[Block] = []
     run: list[str] = []
     linked = links = 0
-    at, end, size = 0, 0, len(source)
+    at, size = 0, len(source)
 
     def close_block() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(run)).split())
         run.clear()
         if text:
-            blocks.append(Block(text, tuple(e.number for e in stack[1:]), min(linked, len(text))))
+            blocks.append(Block(text, stack[-1] if stack else -1, min(linked, len(text))))
         linked = 0
 
     def add(text: str) -> None:
         nonlocal linked
-        if text and not stack[-1].dropped:
+        if text and not (stack and elements[stack[-1]].dropped):
             run.append(text)
             if links:
                 linked += len(text)
 
+    def pop() -> None:
+        open_tags[elements[stack.pop()].tag] -= 1
+
     while at < size:
-        found = TOKEN.search(source, at)
+        found = OPENING.search(source, at)
         if not found:
+            add(source[at:])
             break
-        add(source[end : found.start()])
-        at = end = found.end()
-        tag = (found["tag"] or "").lower()
-        if not tag:
+        add(source[at : found.start()])
+        begin = found.end()
+        if source[begin] in "!?":
+            for opening, closing in (("!--", "-->"), ("![CDATA[", "]]>"), ("", ">")):
+                if source.startswith(opening, begin):
+                    end = source.find(closing, begin + len(opening))
+                    at = end + len(closing) if end >= 0 else size
+                    break
             continue
-        if found["end"]:
+        ending = source[begin] == "/"
+        name = NAME.match(source, begin + ending)
+        if not name:  # an end tag without a name
+            add("<")
+            at = begin
+            continue
+        end = scan.tag_end(name.end())
+        if end < 0:  # the page ends inside a tag
+            break
+        tag, rest, at = name[0].lower(), source[name.end() : end - 1], end
+        if ending:
             if tag == "a":
                 links = max(0, links - 1)
             elif tag not in INLINE:
                 close_block()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
-                        del stack[k:]
-                        break
+                if open_tags[tag]:
+                    while elements[stack[-1]].tag != tag:
+                        pop()
+                    pop()
             continue
         if tag in RAW:
-            closing = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
-            at = end = closing.end() if closing else size
+            at = scan.element_end(tag, at, else_end=True)
             continue
-        attrs = attributes(found["attrs"]) if found["attrs"] else {}
+        attrs = attributes(rest) if rest else {}
         if tag in INLINE:
             if tag == "a":
                 links += 1
             if attrs and tag not in VOID and is_boilerplate(tag, attrs, True):
-                closing = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(source, at)
-                if closing:
-                    at = end = closing.end()
+                closing = scan.element_end(tag, at, else_end=False)
+                if closing >= 0:
+                    at = closing
                     links -= tag == "a"
             continue
         close_block()
-        if tag in VOID or found["attrs"].endswith("/") and tag not in ("p", "div"):
+        if tag in VOID or rest.endswith("/") and tag not in ("p", "div"):
             continue
-        if stack[-1].tag == PARAGRAPH or (tag in ("li", "td", "th", "tr", "dd", "dt", "option") and stack[-1].tag == tag):
-            stack.pop()
-        upper = stack[-1]
-        element = Element(
-            tag,
-            f"{upper.path}>{step_of(tag, attrs)}",
-            upper.dropped or is_boilerplate(tag, attrs, upper.main),
-            len(elements),
-            upper.main or tag in MAIN,
+        upper = elements[stack[-1]] if stack else None
+        if upper and (upper.tag == PARAGRAPH or (tag in ("li", "td", "th", "tr", "dd", "dt", "option") and upper.tag == tag)):
+            pop()
+            upper = elements[stack[-1]] if stack else None
+        main = bool(upper and upper.main)
+        elements.append(
+            Element(
+                tag,
+                xxhash.xxh128_hexdigest(f"{upper.path if upper else ''}>{step_of(tag, attrs)}"),
+                stack[-1] if stack else -1,
+                bool(upper and upper.dropped) or is_boilerplate(tag, attrs, main),
+                main or tag in MAIN,
+            )
         )
-        elements.append(element)
-        stack.append(element)
+        stack.append(len(elements) - 1)
+        open_tags[tag] += 1
         links = 0
-    if end < size and not re.match(r"<[a-zA-Z/!?]", source[end:]):
-        add(source[end:])
     close_block()
     return elements, blocks
 
 
 def container_worth(elements: list[Element], blocks: list[Block]) -> dict[int, float]:
     """Worth of each container that holds text; paragraphs and list items count for what holds them."""
-    worth: dict[int, float] = {}
+    carried = [0.0] * len(elements)
     for block in blocks:
-        owners = [n for n in block.owners if elements[n].tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6")]
-        value = float(len(block.text) - block.linked)
-        for n in reversed(owners):
-            worth[n] = worth.get(n, 0.0) + value
+        if block.owner >= 0:
+            carried[block.owner] += len(block.text) - block.linked
+    worth: dict[int, float] = {}
+    for n in range(len(elements) - 1, -1, -1):  # an element comes after what holds it
+        tag, value = elements[n].tag, carried[n]
+        if not value:
+            continue
+        if tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6"):
+            worth[n] = value * (SEMANTIC if tag in MAIN else 1.0)
             value *= DECAY
-    return {n: w * (SEMANTIC if elements[n].tag in MAIN else 1.0) for n, w in worth.items()}
+        if elements[n].parent >= 0:
+            carried[elements[n].parent] += value
+    return worth
 
 
-def votes_of(source: str) -> list[tuple[str, int]]:
-    """Paths of the page's best containers with their weight in thousandths of the best."""
-    elements, blocks = read_page(source)
+def best_container(elements: list[Element], blocks: list[Block]) -> int | None:
+    """The container worth most, the first of equals; none without text."""
     worth = container_worth(elements, blocks)
-    top = max(worth.values(), default=0.0)
-    votes: dict[str, int] = {}
-    for n, w in worth.items():
-        if top > 0 and w >= NEAR * top:
-            votes[elements[n].path] = max(votes.get(elements[n].path, 0), round(1000 * w / top))
-    return sorted(votes.items())
+    return max(worth, key=lambda n: (worth[n], -n), default=None)
+
+
+def text_inside(elements: list[Element], blocks: list[Block], chosen: set[int]) -> str:
+    inside = [False] * len(elements)
+    for n, element in enumerate(elements):
+        inside[n] = n in chosen or (element.parent >= 0 and inside[element.parent])
+    return " ".join(b.text for b in blocks if b.owner >= 0 and inside[b.owner])
+
+
+def vote_of(source: str) -> str | None:
+    """Path of the page's best container: a digest of its steps from the root down."""
+    elements, blocks = read_page(source)
+    best = best_container(elements, blocks)
+    return None if best is None else elements[best].path
 
 
 def main_text(source: str, path: str | None) -> str:
     """The text of the elements at a path, or of the page's best container if there are none."""
     elements, blocks = read_page(source)
-    chosen = {e.number for e in elements if path is not None and e.path == path and not e.dropped}
-    text = " ".join(b.text for b in blocks if chosen.intersection(b.owners))
-    if not text:
-        worth = container_worth(elements, blocks)
-        best = max(worth, key=lambda n: (worth[n], -n), default=None)
-        text = " ".join(b.text for b in blocks if best is None or best in b.owners)
-    return text
+    if path is not None:
+        text = text_inside(elements, blocks, {n for n, e in enumerate(elements) if e.path == path and not e.dropped})
+        if text:
+            return text
+    best = best_container(elements, blocks)
+    return " ".join(b.text for b in blocks) if best is None else text_inside(elements, blocks, {best})
 
 
 def host_of(url: Column) -> Column:
@@ -243,22 +324,13 @@ def host_paths(pages: DataFrame, url: str = "url", source: str = "html") -> Data
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, paths, weights = [], [], []
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for path, weight in votes_of(page.as_py()):
-                    hosts.append(host)
-                    paths.append(path)
-                    weights.append(weight)
-            yield pa.record_batch(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(weights, pa.int64())],
-                ["host", "path", "weight"],
-            )
+            paths = [vote_of(page.as_py()) for page in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(paths, pa.string())], ["host", "path"])
 
     asked = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.col(f"`{source}`").cast("string").alias("page"))
     asked = asked.filter("host is not null and page is not null")
-    votes = asked.mapInArrow(vote, "host string, path string, weight long").groupBy("host", "path").agg(
-        F.sum("weight").alias("votes")
-    )
+    votes = asked.mapInArrow(vote, "host string, path string").filter("path is not null")
+    votes = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"))
     best = Window.partitionBy("host").orderBy(F.col("votes").desc(), "path")
     return votes.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("host", "path")
 
@@ -274,13 +346,18 @@ def extract_main_text(
     is cut off. A page is one row; none is read beside another.
     """
     winners = materialize(host_paths(pages, url, source), "host-paths")
-    host, path, page = (spare_name(pages, stem) for stem in ("host", "path", "page"))
+    host, path, page, salt = (spare_name(pages, stem) for stem in ("host", "path", "page", "salt"))
     kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() != out.lower()]
+    # pages are dealt into parts, so that one host's do not all meet its path in one task
     asked = pages.select(
-        *kept, host_of(F.col(f"`{url}`")).alias(host), F.col(f"`{source}`").cast("string").alias(page)
+        *kept,
+        host_of(F.col(f"`{url}`")).alias(host),
+        F.pmod(F.xxhash64(F.col(f"`{url}`")), F.lit(SALTS)).alias(salt),
+        F.col(f"`{source}`").cast("string").alias(page),
     )
-    named = winners.select(F.col("host").alias(host), F.col("path").alias(path))
-    joined = asked.join(named, host, "left").select(*kept, path, page)
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    named = winners.select(F.col("host").alias(host), F.col("path").alias(path), parts.alias(salt))
+    joined = asked.join(named, [host, salt], "left").select(*kept, path, page)
     schema = joined.drop(path, page).schema.add(out, "string")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
