@@ -27,6 +27,8 @@ PROJECTIONS = 8
 #: Probability at which a query stops, rows of a leaf, rows and queries of a block.
 CONFIDENCE, LEAF, BLOCK_ROWS, QUERY_ROWS = 0.98, 64, 8192, 4096
 SEED = 77
+#: Projected distances below this share of the largest squared norm are taken for none.
+ROUNDING = 1e-20
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -65,6 +67,18 @@ def kd_leaves(points: np.ndarray, leaf: int) -> list[np.ndarray]:
     return out
 
 
+def inner_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Inner products of all pairs, each added up from the first component to the last.
+
+    A matrix product adds in an order that follows from the shapes, so equal vectors could get
+    scores that differ in the last bit, and ties would not be ties.
+    """
+    total = np.zeros((len(queries), len(vectors)))
+    for x, y in zip(queries.T, np.ascontiguousarray(vectors.T), strict=True):
+        total += x[:, None] * y[None, :]
+    return total
+
+
 def search_block(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
     k: int, confidence: float = CONFIDENCE, projections: int = PROJECTIONS, leaf: int = LEAF, seed: int = SEED,
@@ -84,6 +98,8 @@ def search_block(
     for j in range(len(leaves)):
         gap = np.maximum(np.maximum(low[j] - asked, asked - high[j]), 0)
         reach[:, j] = np.einsum("ij,ij->i", gap, gap)
+    # projections of equal vectors may differ in the last bits
+    reach[reach < ROUNDING * top_square] = 0.0
     order = np.argsort(reach, axis=1, kind="stable")
     query_squares = np.einsum("ij,ij->i", queries, queries)
     best = np.full((n, k), -np.inf)
@@ -104,7 +120,7 @@ def search_block(
         cuts = np.flatnonzero(np.diff(next_leaf[by_leaf])) + 1
         for part in np.split(by_leaf, cuts):
             rows, who = leaves[next_leaf[part[0]]], active[part]
-            scores = queries[who] @ vectors[rows].T
+            scores = inner_products(queries[who], vectors[rows])
             found = np.broadcast_to(ids[rows], scores.shape)
             scores = np.where(found == query_ids[who][:, None], -np.inf, scores)
             scores = np.concatenate([best[who], scores], axis=1)

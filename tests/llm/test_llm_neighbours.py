@@ -10,7 +10,7 @@ from tallywright.llm.queries import QUERIES
 def brute(queries, vectors, k):
     out = {}
     for q, x in queries:
-        scored = sorted(((-float(np.dot(x, y)), v) for v, y in vectors if v != q and len(y) == len(x)))[:k]
+        scored = sorted(((-float(sum_in_order(x, y)), v) for v, y in vectors if v != q and len(y) == len(x)))[:k]
         out[q] = [v for _, v in scored]
     return out
 
@@ -38,7 +38,8 @@ def test_recall_and_scores_of_the_query(spark):
 def test_awkward_vectors_ties_and_blocks(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.standard_normal(6)]) for i in range(300)]
-    rows += [(1000 + i, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]) for i in range(200)]  # one very common vector
+    # one very common vector, nearer to itself than any random row is
+    rows += [(1000 + i, [5.0, 0.0, 0.0, 0.0, 0.0, 0.0]) for i in range(200)]
     rows += [(2000, None), (2001, [0.0] * 6), (2002, [1.0, None, 0.0]), (2003, [math.nan] * 6),
              (2004, [math.inf, 0.0]), (2005, []), (None, [1.0] * 6), (2006, [1.0, 2.0])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id bigint, embedding array<double>, rank string")
@@ -55,6 +56,31 @@ def test_awkward_vectors_ties_and_blocks(spark):
     assert N.nearest(df, df.limit(0), 5).count() == 0
 
 
+def test_equal_vectors_come_in_the_order_of_their_ids(spark):
+    rng = np.random.default_rng(5)
+    same = [float(x) for x in rng.standard_normal(64)]
+    rows = [(i, [float(x) for x in 0.1 * rng.standard_normal(64)]) for i in range(300)]
+    rows += [(1000 + i, same) for i in range(40)]
+    rows += [(2000 + i, [2 * x for x in same] if i % 2 else [x / 3 for x in same]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(7)
+    expected = {}
+    for q, x in rows:
+        scored = [(sum_in_order(x, y), v) for v, y in rows if v != q]
+        expected[q] = [v for _, v in sorted((-s, v) for s, v in scored)[:20]]
+    for settings in ({}, {"block_rows": 50, "query_rows": 13}, {"leaf": 4}):
+        got = {}
+        for r in N.nearest(df, df, 20, confidence=1.0, **settings).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert got == expected
+
+
+def sum_in_order(x, y):
+    total = 0.0
+    for a, b in zip(x, y, strict=True):
+        total += a * b
+    return total
+
+
 def test_chi_square_values():
     # table values of the chi-square law, 8 degrees of freedom
     assert N.chi_square(np.array([2.733, 7.344, 15.507]), 8) == pytest.approx([0.05, 0.5, 0.95], abs=1e-3)
