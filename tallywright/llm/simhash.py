@@ -31,6 +31,8 @@ QUARTERS = 4
 PLACES = 64 // QUARTERS + 1
 #: Shingles whose bits are summed at once.
 SUM_SHINGLES = 50_000
+#: Parts that the rows of one fingerprint are dealt into.
+SALTS = 16
 
 
 def shingle_hashes(text: str, words: int = SHINGLE_WORDS) -> np.ndarray:
@@ -149,8 +151,9 @@ def quarter_counts(mark: Column) -> list[Column]:
 def links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges (a, b) that connect distinct fingerprints (column ``mark``) at the radius or less.
 
-    The count of each tile group is joined back to cut groups into tiles; there are at most
-    17 ** 4 = 83,521 groups, 1.3 MB, which is the bound of that broadcast.
+    The count of each tile group is joined back, to cut groups into tiles and to list the tiles of
+    the groups nearby; there are at most 17 ** 4 = 83,521 groups, 1.3 MB, which is the bound of
+    those broadcasts.
     """
     names = [f"c{k}" for k in range(QUARTERS)]
     counted = marks.select("mark", *[c.alias(n) for c, n in zip(quarter_counts(F.col("mark")), names, strict=True)])
@@ -176,7 +179,11 @@ def links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
     for n in names:
         left = left.withColumn(n, F.col(f"from_{n}") + F.col("step")[n])
         inside = inside & F.col(n).between(0, PLACES - 1)
-    pairs = left.filter(inside).drop("step").join(tiles.withColumnRenamed("marks", "right"), names)
+    # a pair of tiles is a key of its own, so a large group is compared by as many tasks as it has tiles
+    counts = sizes.select(*names, F.ceil(F.col("n") / TILE).alias("tiles"))
+    aimed = left.filter(inside).drop("step").join(F.broadcast(counts), names)
+    aimed = aimed.withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    pairs = aimed.join(tiles.withColumnRenamed("marks", "right"), [*names, "tile"])
     home = F.lit(True)
     for n in names:
         home = home & (F.col(n) == F.col(f"from_{n}"))
@@ -205,7 +212,11 @@ def cluster(
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(rooted.join(least, "root").select("mark", "component_id"), "components")
-    return marked.join(named, "mark").select(key, "mark", "component_id")
+    # a fingerprint that very many rows share meets its component in many tasks
+    salt = spare_name(marked, "salt")
+    parts = named.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    dealt = marked.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(SALTS)))
+    return dealt.join(parts, ["mark", salt]).select(key, "mark", "component_id")
 
 
 def hex_mark(mark: Column) -> Column:
