@@ -36,32 +36,40 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     languages = language_id.learn(docs.filter(~language_id.is_held_out()).select("text", "lang"))
     if not languages:
         return docs.filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
-    own = spare_name(docs, "text")
-    named = language_id.identify(docs.withColumn(own, F.col("text")), languages, text=own)
-    return named.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_COSINE)).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    # only the text goes in: what the operator adds cannot meet a column of the documents
+    own, found = spare_name(docs, "text"), spare_name(docs, "found")
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(found), F.col("text").alias(own))
+    named = language_id.identify(given, languages, text=own)
+    kept = named.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_COSINE))
+    return kept.select(f"{found}.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each SimHash group; rows without an id stay as they are."""
+    """The document of smallest id of each SimHash group.
+
+    Of several rows with one id that smallest document has, the one whose columns are least stays;
+    rows without an id stay as they are.
+    """
     groups = simhash.cluster(docs.select("doc_id", "text"))
     keep = groups.filter("doc_id = component_id").select("doc_id").distinct()
     own = docs.filter("doc_id is not null").join(keep, "doc_id", "left_semi")
-    return own.unionByName(docs.filter("doc_id is null"))
+    row = spare_name(docs, "row")
+    single = own.groupBy("doc_id").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(row))
+    return single.select(f"{row}.*").unionByName(docs.filter("doc_id is null"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked in their texts and ``n_chars`` kept true to the text."""
-    scanned = secrets.scan_secrets(docs.select(*[F.col(f"`{c}`") for c in docs.columns]))
-    found = F.size("secret_spans") > 0
-    masked = scanned.withColumn(
-        "text", F.when(found, secrets.redact(F.col("text"), F.col("secret_spans"))).otherwise(F.col("text"))
-    )
+    found, own = spare_name(docs, "found"), spare_name(docs, "text")
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(found), F.col("text").alias(own))
+    scanned = secrets.scan_secrets(given, text=own)
+    hit = F.size("secret_spans") > 0
+    masked = F.when(hit, secrets.redact(F.col(own), F.col("secret_spans"))).otherwise(F.col(own))
+    changed = {"text": masked}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        masked = masked.withColumn("n_chars", F.when(found, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return masked.select(*[F.col(f"`{c}`") for c in docs.columns])
+        changed["n_chars"] = F.when(hit, F.length(masked).cast(kind)).otherwise(F.col(f"{found}.n_chars"))
+    return scanned.select(*[changed.get(c, F.col(f"{found}.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
