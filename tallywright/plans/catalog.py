@@ -367,8 +367,12 @@ def mean_tfidf_by_class(spark, sf_dir):
 @query
 def tfidf_vectors(spark, sf_dir):
     cleaned = text.clean_text(inputs.texts(spark, sf_dir), "CONTENT")
+    return _vector_totals(features.tfidf_vectors(cleaned, "CONTENT", 5000))
+
+
+def _vector_totals(vectors):
     vector = F.unwrap_udt("features")
-    return features.tfidf_vectors(cleaned, "CONTENT", 5000).select(
+    return vectors.select(
         "doc_id",
         F.size(vector["indices"]).alias("terms"),
         F.round(
@@ -377,6 +381,43 @@ def tfidf_vectors(spark, sf_dir):
     )
 
 
+#: Settings under which no vocabulary is broadcast and hot terms are those with a 200th of the rows.
+BY_TABLE = {"broadcast_terms": 0, "hot_terms": 200}
+
+
+@query
+def tfidf_long_from_table(spark, sf_dir):
+    cleaned = text.clean_text(inputs.texts(spark, sf_dir), "CONTENT")
+    return _rounded(features.tfidf_long(cleaned, "CONTENT", ["doc_id"], 5000, **BY_TABLE), "weight")
+
+
+@query
+def tfidf_long_of_all_terms(spark, sf_dir):
+    comments = inputs.texts(spark, sf_dir)
+    return _rounded(features.tfidf_long(comments, "CONTENT", ["doc_id"], None), "weight")
+
+
+@query
+def tfidf_vectors_from_table(spark, sf_dir):
+    cleaned = text.clean_text(inputs.texts(spark, sf_dir), "CONTENT")
+    return _vector_totals(features.tfidf_vectors(cleaned, "CONTENT", 5000, **BY_TABLE))
+
+
+@query
+def mean_tfidf_by_class_from_table(spark, sf_dir):
+    comments = inputs.comments(spark, sf_dir)
+    return _rounded(features.mean_tfidf_by_class(comments, "CONTENT", "CLASS", 1, **BY_TABLE), "score")
+
+
+@query
+def index_many_categories(spark, sf_dir):
+    """Part keys go by shuffle past the broadcast limit; a third of the rows share one of them."""
+    part = F.when(F.col("l_orderkey") % 3 == 0, "hot").otherwise(F.col("l_partkey").cast("string"))
+    rows = inputs.table(spark, sf_dir, "lineitem").select(part.alias("part"), "l_suppkey")
+    indexed = features.index_categories(rows, ["part", "l_suppkey"], hot_keys=100)
+    return indexed.groupBy("part", "part_indexed", "l_suppkey", "l_suppkey_indexed").agg(F.count("*").alias("count"))
+
+
 @query
 def index_categories(spark, sf_dir):
     names = ["protocol_type", "service", "flag", "new_label"]

@@ -305,6 +305,13 @@ ORACLES: dict[str, str] = {
     + " union all ".join(
         _index(name) for name in ("protocol_type", "service", "flag", "new_label")
     ),
+    "index_many_categories": """with rows as (select case when l_orderkey % 3 = 0 then 'hot'
+        else l_partkey::varchar end as part, l_suppkey from lineitem),
+      a as (select part, (row_number() over (order by count(*) desc, part) - 1)::double as part_indexed from rows group by 1),
+      b as (select l_suppkey, (row_number() over (order by count(*) desc, l_suppkey::varchar) - 1)::double
+        as l_suppkey_indexed from rows group by 1)
+      select part, part_indexed, l_suppkey, l_suppkey_indexed, count(*) as count
+      from rows join a using (part) join b using (l_suppkey) group by all""",
     "assemble_features": f"with {RECORDS} select duration as f0, src_bytes as f1, dst_bytes as f2 "
     "from records",
     "fit_features": f"""with {LABELLED} select new_label_place as label_indexed,
@@ -378,3 +385,12 @@ ORACLES: dict[str, str] = {
     "compare_models": f"with {_confusion(3, 'thirds')}, {_confusion(5, 'fifths')} "
     f"{_model_rows('thirds', 'thirds')} union all {_model_rows('fifths', 'fifths')}",
 }
+
+# the same results by other plans
+ORACLES |= {
+    "tfidf_long_from_table": ORACLES["tfidf_long"],
+    "tfidf_vectors_from_table": ORACLES["tfidf_vectors"],
+    "mean_tfidf_by_class_from_table": ORACLES["mean_tfidf_by_class"],
+    "tfidf_long_of_all_terms": f"""with {_tfidf('"CONTENT"', 2_000_000_000, False)} select doc_id, term,
+      round(weight, 6) as weight from weights""",
+}
