@@ -16,8 +16,8 @@ def key_text(keys: str | Sequence[str]) -> Column:
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     if len(names) == 1:
-        return F.col(names[0]).cast("string")
-    texts = [F.col(name).cast("string") for name in names]
+        return F.col(f"`{names[0]}`").cast("string")
+    texts = [F.col(f"`{name}`").cast("string") for name in names]
     sized = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     return F.concat_ws("|", *sized)
 

@@ -27,10 +27,18 @@ def with_place(df: DataFrame, order: Sequence[str | Column], out: str, task_rows
     """
     rows = materialize(df, "unplaced")  # range bounds come from a sample of the same rows
     tasks = max(1, math.ceil(rows.count() / task_rows))
-    within, task = spare_name(df, "within"), spare_name(df, "task")
     ranged = rows.repartitionByRange(tasks, *order) if tasks > 1 else rows.coalesce(1)
-    sorted_rows = ranged.sortWithinPartitions(*order).withColumn(within, F.monotonically_increasing_id())
-    stored = materialize(sorted_rows, "in-order")
+    return with_any_place(ranged.sortWithinPartitions(*order), out)
+
+
+def with_any_place(df: DataFrame, out: str) -> DataFrame:
+    """Add a number from 0 to every row: the order of tasks, and in a task of its rows.
+
+    The rows are stored with their numbers, and only the number of rows of each task passes through
+    the driver.
+    """
+    within, task = spare_name(df, "within"), spare_name(df, "task")
+    stored = materialize(df.withColumn(within, F.monotonically_increasing_id()), "in-order")
     number = F.shiftright(F.col(within), PLACE_BITS).cast("int")
     sizes = stored.groupBy(number.alias(task)).agg(F.count(F.lit(1)).alias("rows")).orderBy(task).collect()
     firsts, before = [], 0
@@ -38,7 +46,7 @@ def with_place(df: DataFrame, order: Sequence[str | Column], out: str, task_rows
         firsts.append((size[task], before))
         before += size["rows"]
     # one row for each task
-    table = df.sparkSession.createDataFrame(firsts, f"{task} int, {out} bigint")
+    table = df.sparkSession.createDataFrame(firsts, f"{task} int, `{out}` bigint")
     place = F.col(within).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     joined = stored.withColumn(task, number).join(F.broadcast(table), task)
     return joined.withColumn(out, F.col(out) + place).select(*[F.col(f"`{c}`") for c in df.columns], out)

@@ -177,5 +177,5 @@ def _numeric_columns(df: DataFrame) -> list[str]:
 
 def _number(df: DataFrame, name: str) -> Column:
     """The column as double, NaN as null."""
-    x = F.col(name).cast("double")
+    x = F.col(f"`{name}`").cast("double")
     return F.when(~F.isnan(x), x)

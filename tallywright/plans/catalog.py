@@ -35,6 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SEEDS = 5
 SELECTED = ["the", "The", "and", "de", "est", "nowhere-in-the-text"]
+#: Rows with a lower key hash than "hot" and half of the rows with that key, as a share of all.
+HOT_SHARE = 0.269
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -503,6 +505,26 @@ def split_exact(spark, sf_dir):
     )
 
 
+@query
+def split_exact_hot_key(spark, sf_dir):
+    """A third of the rows share the key at which the test part ends."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, "hot").otherwise(F.col("l_orderkey").cast("string"))
+    rows = inputs.table(spark, sf_dir, "lineitem").select(*inputs.LINE_KEY, key.alias("key"))
+    train, test = sampling.split_exact(rows, "key", HOT_SHARE)
+    return train.withColumn("part", F.lit("train")).unionByName(
+        test.withColumn("part", F.lit("test"))
+    )
+
+
+@query
+def split_exact_equal_rows(spark, sf_dir):
+    """Rows of three values only: how many of each go to either part."""
+    rows = inputs.table(spark, sf_dir, "lineitem").select("l_returnflag")
+    train, test = sampling.split_exact(rows, "l_returnflag", 0.5)
+    parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return parts.groupBy("l_returnflag", "part").agg(F.count("*").alias("count"))
+
+
 @query
 def sample_seeds(spark, sf_dir):
     points = inputs.points(spark, sf_dir)

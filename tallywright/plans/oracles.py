@@ -331,6 +331,15 @@ ORACLES: dict[str, str] = {
     "split_exact": f"""select {KEY}, case when row_number() over (order by md5({KEY_TEXT}),
       {KEY_TEXT}) <= ceil(0.2 * (select count(*) from lineitem)) then 'test' else 'train' end as part
       from lineitem""",
+    "split_exact_hot_key": f"""with rows as (select {KEY},
+        case when l_orderkey % 3 = 0 then 'hot' else l_orderkey::varchar end as key from lineitem)
+      select *, case when row_number() over (order by md5(key), key, md5(to_json({{'l_orderkey': l_orderkey,
+          'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey, 'key': key}})::varchar))
+        <= ceil(0.269::double * (select count(*) from lineitem)) then 'test' else 'train' end as part from rows""",
+    "split_exact_equal_rows": """with rows as (select l_returnflag,
+        row_number() over (order by md5(l_returnflag), l_returnflag) <= ceil(0.5 * (select count(*) from lineitem)) as low
+        from lineitem)
+      select l_returnflag, case when low then 'test' else 'train' end as part, count(*) as count from rows group by all""",
     "sample_seeds": f"""with {POINTS} select {KEY}, round(px, 6) as px, round(py, 6) as py
       from points order by md5({KEY_TEXT} || '7'), {KEY_TEXT} limit 8""",
     "assign_nearest_planar": f"{_assigned()} select {KEY}, cid::int as cid from assigned",

@@ -1,10 +1,12 @@
 import hashlib
+import json
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallywright.operators import sampling, selection
+from tallywright.operators.numbering import with_any_place, with_place
 
 
 def digest(value):
@@ -29,6 +31,36 @@ def test_exact_split_of_repeated_keys(spark):
         assert train.unionByName(test).distinct().count() == 200
 
 
+@pytest.mark.parametrize("block", [5, 10_000])
+def test_exact_split_inside_a_hot_key(spark, monkeypatch, block):
+    monkeypatch.setattr(selection, "BLOCK", block)
+    rows = [("hot" if k % 3 else f"k{k}", k % 40, "x") for k in range(900)]
+    df = spark.createDataFrame(rows, "`k.ey` string, n int, s string").repartition(4)
+
+    def place(row):
+        content = json.dumps(dict(zip(("k.ey", "n", "s"), row, strict=True)), separators=(",", ":"))
+        return digest(row[0]), row[0], digest(content)
+
+    for share in (0.05, 0.3, 0.5, 0.9):
+        train, test = sampling.split_exact(df, "k.ey", share)
+        size = math.ceil(share * len(rows))
+        expected = sorted(rows, key=place)[:size]
+        assert sorted(map(tuple, test.collect())) == sorted(expected)
+        assert sorted(map(tuple, train.unionByName(test).collect())) == sorted(rows)
+        plans = [part._jdf.queryExecution().executedPlan().toString() for part in (train, test)]
+        assert not any("Window" in plan or "Sort [" in plan for plan in plans)
+
+
+def test_places_follow_the_order_over_many_tasks(spark):
+    rows = [(k * 7919 % 1000, k) for k in range(1000)]
+    df = spark.createDataFrame(rows, "a int, id int").repartition(7)
+    placed = with_place(df, [F.desc("a"), "id"], "place", task_rows=90)
+    expected = {r[1]: i for i, r in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])))}
+    assert {r.id: r.place for r in placed.collect()} == expected and placed.count() == 1000
+    assert with_place(df.limit(0), ["a"], "place").count() == 0
+    assert sorted(r.place for r in with_any_place(df, "place").collect()) == list(range(1000))
+
+
 def test_null_and_composite_keys_are_kept_apart(spark):
     df = spark.createDataFrame([(None, "1"), ("1", None), ("a|b", "c"), ("a", "b|c")], "x string, y string")
     digests = df.select(sampling.hash_text(["x", "y"]).alias("d")).distinct()
