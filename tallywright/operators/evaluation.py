@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Classes that the grid of a confusion matrix, quadratic in their number, may have.
-MAX_CLASSES = 1_000
+from tallywright.session import materialize
+
+#: Parts that the second list of classes is dealt into for the grid of a confusion matrix.
+GRID_PARTS = 64
 
 
 def rmse(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -36,12 +38,15 @@ def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction"
 
 
 def confusion_matrix(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", zeros: bool = True
 ) -> DataFrame:
-    """Rows per true and predicted class, zero cells kept."""
-    gathered = _gathered(_pair_counts(df, label, prediction))
-    cells = gathered.select(F.inline(F.concat("pairs", _zeros())))
-    return cells.groupBy("label", "prediction").agg(F.sum("count").alias("count"))
+    """Rows per true and predicted class; with ``zeros`` also the pairs of classes that never meet.
+
+    The rows that do meet are counted and stored once. The zero cells, as many as the square of the
+    number of classes, are made by tasks from two lists of classes.
+    """
+    counts = _stored_counts(df, label, prediction)
+    return _with_zeros(counts) if zeros else counts
 
 
 def f1_weighted(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -55,16 +60,13 @@ def classification_report(
 ) -> DataFrame:
     """Precision, recall, F1 and support per class, then accuracy, macro and weighted means.
 
-    A ratio with nothing below the line is 0. The accuracy row holds its value under ``f1``.
+    A ratio with nothing below the line is 0. The accuracy row holds its value under ``f1``. One
+    row per class and three more; no row gathers the others.
     """
-    scores = _class_scores(df, label, prediction).limit(MAX_CLASSES + 2)
+    scores = _scores_of(_stored_counts(df, label, prediction))
     names = ["precision", "recall", "f1"]
     total = F.sum("support")
     summary = scores.agg(
-        _checked(
-            F.collect_list(F.struct(F.col("class").cast("string").alias("class"), *names, "support")),
-            F.count_if(F.col("class").isNull()),
-        ).alias("classes"),
         total.alias("total"),
         (F.sum("hits") / total).alias("accuracy"),
         F.struct(*[F.avg(name).alias(name) for name in names]).alias("macro"),
@@ -82,35 +84,29 @@ def classification_report(
         row("macro avg", *[F.col("macro")[name] for name in names]),
         row("weighted avg", *[F.col("weighted")[name] for name in names]),
     )
-    return summary.select(F.inline(F.concat("classes", means)))
+    classes = scores.select(F.col("class").cast("string").alias("class"), *names, "support")
+    return classes.unionByName(summary.select(F.inline(means)))
 
 
 def compare_models(
-    predictions: Mapping[str, DataFrame], label: str = "label", prediction: str = "prediction"
+    predictions: Mapping[str, DataFrame], label: str = "label", prediction: str = "prediction", zeros: bool = True
 ) -> DataFrame:
     """Accuracy and confusion cells of several models, ``(model, measure, label, prediction, value)``."""
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        gathered = _gathered(_pair_counts(df, label, prediction))
-        hits = F.filter("pairs", lambda pair: pair["label"] == pair["prediction"])
-        share = F.struct(
-            F.lit("accuracy").alias("measure"),
-            F.lit(None).cast("string").alias("label"),
-            F.lit(None).cast("string").alias("prediction"),
-            (_total(hits) / _total(F.col("pairs"))).alias("value"),
+        counts = _stored_counts(df, label, prediction)
+        hits = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)
+        nothing = F.lit(None).cast("string")
+        share = counts.agg((F.sum(hits) / F.sum("count")).alias("value")).select(
+            F.lit("accuracy").alias("measure"), nothing.alias("label"), nothing.alias("prediction"), "value"
         )
-        cells = F.transform(
-            F.concat("pairs", _zeros()),
-            lambda pair: F.struct(
-                F.lit("count").alias("measure"),
-                pair["label"].cast("string").alias("label"),
-                pair["prediction"].cast("string").alias("prediction"),
-                pair["count"].cast("double").alias("value"),
-            ),
+        cells = (_with_zeros(counts) if zeros else counts).select(
+            F.lit("count").alias("measure"),
+            F.col("label").cast("string").alias("label"),
+            F.col("prediction").cast("string").alias("prediction"),
+            F.col("count").cast("double").alias("value"),
         )
-        rows = gathered.select(F.inline(F.concat(F.array(share), cells)))
-        keys = [F.lit(name).alias("model"), "measure", "label", "prediction"]
-        return rows.groupBy(*keys).agg(F.sum("value").alias("value"))
+        return share.unionByName(cells).select(F.lit(name).alias("model"), "*")
 
     return reduce(DataFrame.unionByName, [one(name, df) for name, df in predictions.items()])
 
@@ -127,46 +123,31 @@ def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return pairs.groupBy("label", "prediction").agg(F.count("*").alias("count"))
 
 
-def _gathered(counts: DataFrame) -> DataFrame:
-    """The pair counts as one row, ``pairs`` and ``classes``; at most the square of the class limit.
-
-    One row serves the cells, the zero cells and the totals alike, so the predictions behind the
-    counts, which a model may have to compute, are scanned once.
-    """
-    # the allowed classes and null give (MAX_CLASSES + 1) ** 2 pairs; one more is always an error
-    most = (MAX_CLASSES + 1) ** 2
-    pairs = counts.limit(most + 1).agg(
-        F.collect_list(F.struct("label", "prediction", "count")).alias("pairs")
-    )
-    many = F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))
-    pairs = pairs.select(F.when(F.size("pairs") > most, many).otherwise(F.col("pairs")).alias("pairs"))
-    named = F.concat(F.col("pairs")["label"], F.col("pairs")["prediction"])
-    return pairs.select("pairs", _checked(F.array_compact(F.array_distinct(named))).alias("classes"))
-
-
-def _zeros() -> Column:
-    """A zero for every pair of classes."""
-
-    def row(label: Column) -> Column:
-        return F.transform(
-            "classes",
-            lambda prediction: F.struct(
-                label.alias("label"),
-                prediction.alias("prediction"),
-                F.lit(0).cast("bigint").alias("count"),
-            ),
-        )
-
-    return F.flatten(F.transform("classes", row))
+def _stored_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """The pair counts as a table, so that predictions, which a model may have to compute, are made once."""
+    return materialize(_pair_counts(df, label, prediction), "pair-counts")
 
 
-def _total(pairs: Column) -> Column:
-    return F.aggregate(pairs, F.lit(0).cast("bigint"), lambda total, pair: total + pair["count"])
+def _with_zeros(counts: DataFrame) -> DataFrame:
+    """The counts, and a zero for every pair of classes without one."""
+    classes = counts.select(F.col("label").alias("class")).union(counts.select("prediction"))
+    classes = classes.filter(F.col("class").isNotNull()).distinct()
+    # each class meets each part of the list of classes, so a task makes the pairs of some of them
+    part = F.pmod(F.xxhash64("class"), F.lit(GRID_PARTS)).cast("int").alias("__part")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(GRID_PARTS - 1))).alias("__part")
+    grid = classes.select(F.col("class").alias("label"), parts).join(
+        classes.select(F.col("class").alias("prediction"), part), "__part"
+    )
+    zeros = grid.select("label", "prediction", F.lit(0).cast("bigint").alias("count"))
+    return counts.unionByName(zeros).groupBy("label", "prediction").agg(F.sum("count").alias("count"))
 
 
 def _class_scores(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Per class: hits, support, precision, recall and F1, from the pair counts alone."""
-    counts = _pair_counts(df, label, prediction)
+    return _scores_of(_pair_counts(df, label, prediction))
+
+
+def _scores_of(counts: DataFrame) -> DataFrame:
     hit = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)
     sides = F.array(
         F.struct(
@@ -199,9 +180,3 @@ def _class_scores(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 def _ratio(above: Column, below: Column) -> Column:
     return F.when(below == 0, 0.0).otherwise(above / below)
-
-
-def _checked(classes: Column, spare: Column | int = 0) -> Column:
-    """Refuse a label column that is no class label; ``spare`` entries may be null or no class."""
-    message = F.lit(f"more than {MAX_CLASSES} classes")
-    return F.when(F.size(classes) > F.lit(MAX_CLASSES) + spare, F.raise_error(message)).otherwise(classes)

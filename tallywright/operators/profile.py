@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
-from tallywright.operators.selection import order_statistics
+from tallywright.operators.selection import order_statistics, sketch
 
 QUARTILES = (0.25, 0.5, 0.75)
+#: Default of the most bins of a histogram.
+MOST_BINS = 1_000_000
 
 
 def describe_table(df: DataFrame) -> DataFrame:
@@ -53,31 +55,33 @@ def describe_percentiles(
 ) -> DataFrame:
     """Count, mean, standard deviation, extremes and quartiles of numeric columns.
 
-    Quartiles interpolate linearly between neighbouring values. They are exact by default, found by
-    bracket narrowing over a few aggregation passes; ``approximate`` takes one pass and returns
-    observed values within 1/10000 of the rank.
+    Quartiles interpolate linearly between neighbouring values. They are exact by default: the pass
+    that takes the other figures sketches the quartiles too, and a second one counts around the
+    sketch (see :func:`order_statistics` for more than 20 million rows). ``approximate`` takes one
+    pass and returns observed values within 1/10000 of the rank.
     """
     names = list(columns or _numeric_columns(df))
     values = df.select(*[_number(df, name).alias(name) for name in names])
     aggregates = []
     for name in names:
+        x = F.col(f"`{name}`")
         aggregates += [
-            F.count(name).alias(f"{name}__count"),
-            F.avg(name).alias(f"{name}__mean"),
-            F.stddev_samp(name).alias(f"{name}__std"),
-            F.min(name).alias(f"{name}__min"),
-            F.max(name).alias(f"{name}__max"),
+            F.count(x).alias(f"{name}__count"),
+            F.avg(x).alias(f"{name}__mean"),
+            F.stddev_samp(x).alias(f"{name}__std"),
+            F.min(x).alias(f"{name}__min"),
+            F.max(x).alias(f"{name}__max"),
+            (F.percentile_approx(x, list(QUARTILES), 10_000) if approximate else sketch(x, QUARTILES)).alias(
+                f"{name}__quartiles"
+            ),
         ]
-        if approximate:
-            aggregates.append(
-                F.percentile_approx(name, list(QUARTILES), 10_000).alias(f"{name}__quartiles")
-            )
     row = values.agg(*aggregates).first()
     sizes = {name: row[f"{name}__count"] for name in names}
+    sketched = {name: row[f"{name}__quartiles"] for name in names}
     if approximate:
-        quartiles = {name: row[f"{name}__quartiles"] or [None] * 3 for name in names}
+        quartiles = {name: sketched[name] or [None] * 3 for name in names}
     else:
-        quartiles = _exact_quartiles(values, sizes)
+        quartiles = _exact_quartiles(values, sizes, sketched)
     table = [
         (
             name,
@@ -114,14 +118,16 @@ def profile_columns(df: DataFrame) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int = 30, most_bins: int = MOST_BINS) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed, empty ones kept.
 
+    The counts of all bins are broadcast; ``most_bins`` is the bound of that.
+
     A column with a single value is given the range value ± 0.5. A value whose computed bin
     disagrees with that bin's edges is moved to the neighbour.
     """
-    if not 0 < bins <= 1_000_000:
-        raise ValueError("bins must be between 1 and 1000000")
+    if not 0 < bins <= most_bins:
+        raise ValueError(f"bins must be between 1 and {most_bins}")
     values = df.select(_number(df, column).alias("x"))
     span = values.agg(F.min("x").alias("low"), F.max("x").alias("high")).first()
     schema = "bin bigint, left double, right double"
@@ -150,13 +156,18 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     )
 
 
-def _exact_quartiles(values: DataFrame, sizes: dict[str, int]) -> dict[str, list[float | None]]:
-    ranks: dict[str, set[int]] = {}
+def _exact_quartiles(
+    values: DataFrame, sizes: dict[str, int], sketched: dict[str, list[float]]
+) -> dict[str, list[float | None]]:
+    ranks: dict[str, dict[int, tuple[float, float]]] = {}
     for name, size in sizes.items():
         if size:
-            places = [share * (size - 1) for share in QUARTILES]
-            ranks[name] = {math.floor(p) for p in places} | {math.ceil(p) for p in places}
-    found = order_statistics(values, {n: sorted(r) for n, r in ranks.items()}, sizes)
+            ranks[name] = {}
+            for i, share in enumerate(QUARTILES):
+                place = share * (size - 1)
+                for rank in (math.floor(place), math.ceil(place)):
+                    ranks[name].setdefault(rank, tuple(sketched[name][2 * i : 2 * i + 2]))
+    found = order_statistics(values, {n: sorted(r) for n, r in ranks.items()}, sizes, sketches=ranks)
     quartiles: dict[str, list[float | None]] = {}
     for name, size in sizes.items():
         quartiles[name] = []

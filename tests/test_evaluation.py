@@ -1,7 +1,9 @@
 import math
+from collections import Counter
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.sql import functions as F
 
 from tallywright.operators import evaluation
 
@@ -51,20 +53,30 @@ def test_labels_of_another_type_than_predictions(spark):
     assert cells == {(1, 1): 1, (0, 1): 1, (1, 0): 0, (0, 0): 0}
 
 
-def test_a_label_without_bounded_classes_is_refused(pairs, monkeypatch):
-    monkeypatch.setattr(evaluation, "MAX_CLASSES", 2)
-    with pytest.raises(Exception, match="more than 2 classes"):
-        evaluation.confusion_matrix(pairs).collect()
-    with pytest.raises(Exception, match="more than 2 classes"):
-        evaluation.classification_report(pairs).collect()
-
-
-def test_allowed_classes_and_null_fill_the_whole_grid(spark, monkeypatch):
-    monkeypatch.setattr(evaluation, "MAX_CLASSES", 3)
+def test_many_classes(spark):
+    """5,000 classes: sparse counts and the report; the grid of 300."""
+    df = spark.range(20_000).select((F.col("id") % 5000).alias("label"), (F.col("id") * 7 % 5003).alias("prediction"))
+    rows = [(k % 5000, k * 7 % 5003) for k in range(20_000)]
+    cells = evaluation.confusion_matrix(df, zeros=False)
+    assert {(r.label, r.prediction): r["count"] for r in cells.collect()} == Counter(rows)
+    report = {r["class"]: r for r in evaluation.classification_report(df).collect()}
+    assert len(report) == 5003 + 3 and report["17"].support == 4
+    assert math.isclose(report["accuracy"].f1, sum(a == b for a, b in rows) / len(rows))
+    small = df.filter("label < 300 and prediction < 300")
+    counts = Counter(r for r in rows if max(r) < 300)
+    classes = {c for pair in counts for c in pair}
+    grid = {(r.label, r.prediction): r["count"] for r in evaluation.confusion_matrix(small).collect()}
+    assert grid == {(a, b): counts[a, b] for a in classes for b in classes}
+    plan = evaluation.confusion_matrix(small)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "collect_list" not in plan
+
+
+def test_all_classes_and_null_fill_the_whole_grid(spark):
     sides = [None, 0, 1, 2]
     df = spark.createDataFrame([(a, b) for a in sides for b in sides], "label int, prediction int")
     assert evaluation.confusion_matrix(df).agg({"count": "sum"}).first()[0] == 16
     assert evaluation.classification_report(df).count() == 4 + 3
+    assert evaluation.confusion_matrix(df.limit(0)).count() == 0
 
 
 def test_a_prediction_between_classes_is_a_miss(spark):

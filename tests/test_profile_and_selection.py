@@ -43,6 +43,34 @@ def test_order_statistics_equal_sorting(numbers, monkeypatch, uniform):
         assert hit.strictly_below == values.index(values[rank])
 
 
+def passes(monkeypatch, run):
+    """How many times a result is fetched while ``run`` runs."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: seen.append(1) or collect(self))
+    run()
+    return len(seen)
+
+
+def test_exact_percentiles_take_two_passes(spark, numbers, monkeypatch):
+    assert passes(monkeypatch, lambda: profile.describe_percentiles(numbers)) == 2
+    large = spark.range(3_000_000).select((F.col("id") * 7919 % 3_000_017).cast("double").alias("a.b"), (F.col("id") % 5).alias("n"))
+    assert passes(monkeypatch, lambda: profile.describe_percentiles(large)) == 2
+    rows = {r.column: r for r in profile.describe_percentiles(large).collect()}
+    values = np.arange(3_000_000, dtype=np.int64) * 7919 % 3_000_017
+    assert [rows["a.b"][p] for p in ("p25", "p50", "p75")] == np.percentile(values, [25, 50, 75]).tolist()
+    assert (rows["n"].p25, rows["n"].p50, rows["n"].p75) == (1.0, 2.0, 3.0)
+
+
+def test_dotted_names(spark):
+    df = spark.createDataFrame([(float(k), k) for k in range(11)], "`a.b` double, `c.d` int")
+    assert {r.column: r.p50 for r in profile.describe_percentiles(df).collect()} == {"a.b": 5.0, "c.d": 5.0}
+    assert profile.histogram(df, "a.b", 5).agg({"count": "sum"}).first()[0] == 11
+    with pytest.raises(ValueError):
+        profile.histogram(df, "a.b", 5, most_bins=4)
+
+
 def test_percentiles_leave_nan_and_empty_columns_out(spark):
     df = spark.createDataFrame([(1.0, None), (float("nan"), None), (3.0, None)], "a double, b double")
     rows = {r.column: r for r in profile.describe_percentiles(df).collect()}
