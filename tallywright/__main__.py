@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallywright.operators.columns import field_count
 from tallywright.plans import studies
+from tallywright.session import discard_stored
 from tallywright.sources import read_lines, read_table_csv
 
 
@@ -95,6 +96,7 @@ def main() -> None:
     spark = SparkSession.builder.appName(f"tallywright {args.job}").getOrCreate()
     try:
         run(spark, args)
+        discard_stored(spark)
     finally:
         spark.stop()
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.base import Model
 from pyspark.ml.classification import (
     LinearSVC,
@@ -17,13 +16,13 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.functions.hashing import hash_number, hash_text
 from tallywright.operators.evaluation import regression_scores
 from tallywright.operators.sampling import split_by_hash
-from tallywright.session import ensure_checkpointing
+from tallywright.session import ensure_checkpointing, stored
 
 RATING_KEY = ("userId", "movieId")
 # The full search grid.
@@ -64,12 +63,9 @@ def compare_splits(
     scores = []
     for share in train_shares:
         train, test = split_by_hash(ratings, RATING_KEY, share)
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            predicted = predict_ratings(fit_als(train, **als), test)
+        with stored(train, "training") as rows:
+            predicted = predict_ratings(fit_als(rows, **als), test)
             errors = regression_scores(predicted, "rating").first()
-        finally:
-            train.unpersist()
         scores.append((float(share), errors.rmse, errors.mae))
     return ratings.sparkSession.createDataFrame(
         scores, "train_share double, rmse double, mae double"
@@ -107,6 +103,24 @@ def tune_als(
     return search.fit(train.withColumn("fold", fold))
 
 
+def search_table(search: CrossValidatorModel) -> DataFrame:
+    """``(rank, maxIter, regParam, rmse, deviation, place)``: every setting, place 1 the best.
+
+    The error is the mean over the folds, the deviation its standard deviation; ties in the order
+    of the grid. Parameters that the grid does not vary have the value they were fitted with.
+    """
+    als = search.getEstimator()
+    rows = []
+    for given, mean, spread in zip(search.getEstimatorParamMaps(), search.avgMetrics, search.stdMetrics):
+        params = {p.name: v for p, v in {**als.extractParamMap(), **given}.items()}
+        rows.append((int(params["rank"]), int(params["maxIter"]), float(params["regParam"]), float(mean), float(spread)))
+    order = sorted(range(len(rows)), key=lambda i: rows[i][3])
+    ranked = [(*rows[i], place + 1) for place, i in enumerate(order)]
+    return SparkSession.active().createDataFrame(
+        ranked, "rank int, maxIter int, regParam double, rmse double, deviation double, place int"
+    )
+
+
 def best_params(search: CrossValidatorModel) -> dict[str, float]:
     """The winning setting and its mean RMSE."""
     place = min(range(len(search.avgMetrics)), key=search.avgMetrics.__getitem__)
@@ -128,8 +142,9 @@ def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 12) -> DataF
 def fit_linear_svm(
     train: DataFrame, label: str = "label_indexed", features: str = "features", max_iter: int = 10
 ) -> LinearSVCModel:
-    """Linear support vector machine."""
-    return LinearSVC(labelCol=label, featuresCol=features, maxIter=max_iter).fit(train)
+    """Linear support vector machine. The training rows are stored for the fit, which reads them often."""
+    with stored(train.select(label, features), "training") as rows:
+        return LinearSVC(labelCol=label, featuresCol=features, maxIter=max_iter).fit(rows)
 
 
 def fit_logistic(
@@ -137,16 +152,17 @@ def fit_logistic(
 ) -> LogisticRegressionModel:
     """L2 logistic regression. ``strength`` is C in ``C * summed loss + |w|^2 / 2``.
 
-    MLlib minimises the *mean* loss, hence the penalty ``1 / (C * rows)``.
+    MLlib minimises the *mean* loss, hence the penalty ``1 / (C * rows)``. The training rows are
+    stored for the fit.
     """
-    rows = train.count()
-    return LogisticRegression(
-        labelCol=label,
-        featuresCol=features,
-        regParam=1.0 / (strength * rows),
-        elasticNetParam=0.0,
-        standardization=False,
-    ).fit(train)
+    with stored(train.select(label, features), "training") as rows:
+        return LogisticRegression(
+            labelCol=label,
+            featuresCol=features,
+            regParam=1.0 / (strength * rows.count()),
+            elasticNetParam=0.0,
+            standardization=False,
+        ).fit(rows)
 
 
 def fit_random_forest(
@@ -157,17 +173,21 @@ def fit_random_forest(
     depth: int = 10,
     seed: int = 42,
 ) -> RandomForestClassificationModel:
-    """Random forest; depth is bounded (30 at most), trees use a root share of the features."""
+    """Random forest; depth is bounded (30 at most), trees use a root share of the features.
+
+    The training rows are stored for the fit.
+    """
     ensure_checkpointing(train.sparkSession)
-    return RandomForestClassifier(
-        labelCol=label,
-        featuresCol=features,
-        numTrees=trees,
-        maxDepth=depth,
-        seed=seed,
-        featureSubsetStrategy="sqrt",
-        cacheNodeIds=True,
-    ).fit(train)
+    with stored(train.select(label, features), "training") as rows:
+        return RandomForestClassifier(
+            labelCol=label,
+            featuresCol=features,
+            numTrees=trees,
+            maxDepth=depth,
+            seed=seed,
+            featureSubsetStrategy="sqrt",
+            cacheNodeIds=True,
+        ).fit(rows)
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:

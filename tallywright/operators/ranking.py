@@ -1,38 +1,43 @@
-"""Previews and top-k reports. ``orderBy().limit()`` keeps only k rows per task."""
+"""Previews and top-k reports of any length.
+
+A short report is ``orderBy().limit()``, which keeps only k rows per task and merges them in one. A
+long one is ranked in ranges of its order (:func:`with_place`), so that no task sees all of it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywright.functions.naming import spare_name
 from tallywright.operators.aggregates import avg_by
+from tallywright.operators.numbering import with_place
 from tallywright.operators.text import tokenize_terms
 
-MAX_REPORT_ROWS = 10_000
+#: Rows that one task may rank.
+REPORT_ROWS = 10_000
 
 
 def preview(df: DataFrame, order: str | Sequence[str], n: int = 10) -> DataFrame:
     """First n rows by a key; without one the rows would not be the same twice."""
-    keys = [order] if isinstance(order, str) else list(order)
-    return df.orderBy(*keys).limit(_report_size(n))
+    return _first(df, [order] if isinstance(order, str) else list(order), n)
 
 
 def top_words(counts: DataFrame, n: int = 15) -> DataFrame:
     """Most frequent words of a word count; ties in word order."""
-    return counts.orderBy(F.desc("count"), "word").limit(_report_size(n))
+    return _first(counts, [F.desc("count"), "word"], n)
 
 
 def bottom_words(counts: DataFrame, n: int = 15) -> DataFrame:
     """Least frequent words of a word count; ties in word order."""
-    return counts.orderBy("count", "word").limit(_report_size(n))
+    return _first(counts, ["count", "word"], n)
 
 
 def top_rated(df: DataFrame, key: str, value: str = "rating", n: int = 12) -> DataFrame:
     """Items, or users, with the highest mean; ties in key order."""
-    means = avg_by(df, key, value, "avg_rating")
-    return means.orderBy(F.desc("avg_rating"), key).limit(_report_size(n))
+    return _first(avg_by(df, key, value, "avg_rating"), [F.desc("avg_rating"), key], n)
 
 
 def top_terms_by_class(
@@ -48,9 +53,10 @@ def top_terms_by_class(
 
     Rows without a class are left out. Only the ``max_features`` most frequent terms of a class
     take part, which matters when ``n`` is larger. The rank filter is applied before the shuffle
-    too, so a class that holds most of the rows still sends only its best terms per task.
+    too, so a class that holds most of the rows still sends only its best terms per task. Longer
+    reports than one task may rank are ranked in ranges of class and count.
     """
-    keep = min(n, max_features)
+    keep = _positive(min(n, max_features))
     rows = df.filter(F.col(label).isNotNull())
     if classes is not None:
         rows = rows.filter(F.col(label).isin(list(classes)))
@@ -59,8 +65,13 @@ def top_terms_by_class(
         .groupBy(label, "term")
         .agg(F.count("*").alias("count"))
     )
-    place = F.row_number().over(Window.partitionBy(label).orderBy(F.desc("count"), "term"))
-    return counts.withColumn("rank", place).filter(F.col("rank") <= _report_size(keep))
+    if keep <= REPORT_ROWS:
+        place = F.row_number().over(Window.partitionBy(label).orderBy(F.desc("count"), "term"))
+        return counts.withColumn("rank", place).filter(F.col("rank") <= keep)
+    placed = with_place(counts, [label, F.desc("count"), "term"], "rank")
+    firsts = placed.groupBy(label).agg(F.min("rank").alias("__first"))  # one row for each class
+    rank = (F.col("rank") - F.col("__first") + 1).cast("int")
+    return placed.join(F.broadcast(firsts), label).withColumn("rank", rank).drop("__first").filter(F.col("rank") <= keep)
 
 
 def term_weights(
@@ -76,15 +87,25 @@ def term_weights(
         tokenize_terms(df.filter(F.col(label) == F.lit(value)), column, stop_words=stop_words)
         .groupBy("term")
         .agg(F.count("*").alias("count"))
-        .orderBy(F.desc("count"), "term")
-        .limit(_report_size(max_words))
     )
-    # One window over the report itself: max_words rows, not the data.
-    highest = F.max("count").over(Window.partitionBy(F.lit(1)))
-    return counts.withColumn("weight", F.col("count") / highest)
-
-
-def _report_size(n: int) -> int:
-    if not 0 < n <= MAX_REPORT_ROWS:
-        raise ValueError(f"a report holds 1 to {MAX_REPORT_ROWS} rows")
+    report = _first(counts, [F.desc("count"), "term"], max_words)
+    if max_words <= REPORT_ROWS:
+        # one window over the report itself, not the data
+        highest = F.max("count").over(Window.partitionBy(F.lit(1)))
+    else:
+        highest = report.agg(F.max("count")).scalar()
+    return report.withColumn("weight", F.col("count") / highest)
+
+
+def _first(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
+    """The first n rows of an order that tells rows apart."""
+    if _positive(n) <= REPORT_ROWS:
+        return df.orderBy(*order).limit(n)
+    place = spare_name(df, "place")
+    return with_place(df, order, place).filter(F.col(place) < n).drop(place)
+
+
+def _positive(n: int) -> int:
+    if n < 1:
+        raise ValueError("a report has 1 row or more")
     return n

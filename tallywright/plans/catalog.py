@@ -22,6 +22,7 @@ from tallywright.plans import inputs, studies
 from tallywright.session import materialize, shared_path
 from tallywright.sources import (
     read_centroids,
+    read_checked_csv,
     read_lines,
     read_points,
     read_positional,
@@ -35,6 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SEEDS = 5
 SELECTED = ["the", "The", "and", "de", "est", "nowhere-in-the-text"]
+LONG_REPORT = 12_000
 #: Rows with a lower key hash than "hot" and half of the rows with that key, as a share of all.
 HOT_SHARE = 0.269
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -82,6 +84,23 @@ def read_table_csv_comments(spark, sf_dir):
     return read_table_csv(spark, path, schema, multi_line=True)
 
 
+def _checked_ratings(spark, sf_dir):
+    path = shared_path(spark, "rating-lines")
+    inputs.rating_lines(spark, sf_dir).coalesce(1).write.text(path)
+    return read_checked_csv(spark, path, sample_lines=inputs.CLEAN_LINES)
+
+
+@query
+def read_checked_csv_rows(spark, sf_dir):
+    """Types inferred from the first lines; lines that do not fit them are left out."""
+    return _checked_ratings(spark, sf_dir)[0]
+
+
+@query
+def read_checked_csv_malformed(spark, sf_dir):
+    return _checked_ratings(spark, sf_dir)[1]
+
+
 @query
 def read_positional_fields(spark, sf_dir):
     return read_positional(inputs.connection_lines(spark, sf_dir), inputs.CONNECTION_FIELDS)
@@ -318,6 +337,20 @@ def top_words(spark, sf_dir):
     return ranking.top_words(aggregates.word_count(inputs.lines(spark, sf_dir)))
 
 
+@query
+def top_words_long(spark, sf_dir):
+    """A report longer than one task may rank."""
+    return ranking.top_words(aggregates.word_count(inputs.lines(spark, sf_dir)), LONG_REPORT)
+
+
+@query
+def top_terms_by_class_long(spark, sf_dir):
+    comments = inputs.comments(spark, sf_dir)
+    return ranking.top_terms_by_class(
+        comments, "CONTENT", "CLASS", LONG_REPORT, max_features=LONG_REPORT
+    )
+
+
 @query
 def bottom_words(spark, sf_dir):
     return ranking.bottom_words(aggregates.word_count(inputs.lines(spark, sf_dir)))
@@ -763,6 +796,65 @@ def compare_splits_planted(spark, sf_dir):
     )
 
 
+#: Ratings that are a number of the user times one of the item: rank 1, without noise. With hardly
+#: any penalty they are found again exactly, so items fall by their number for every user.
+PLANTED_FIT = {"rank": 1, "reg": 1e-4}
+
+
+def _planted_ratings(spark, sf_dir):
+    pairs = models.mean_ratings(inputs.raw_ratings(spark, sf_dir))
+    product = (F.col("userId") % 3 + 1) * (F.col("movieId") + 20)
+    return sampling.split_by_hash(pairs.withColumn("rating", product.cast("double")), models.RATING_KEY, 0.8)
+
+
+@query
+def fit_als_planted(spark, sf_dir):
+    """The items' numbers read off their factors, which are known but for one common size."""
+    train, _ = _planted_ratings(spark, sf_dir)
+    factors = models.fit_als(train, **PLANTED_FIT).itemFactors
+    sizes = factors.select(F.col("id").alias("movieId"), F.abs(F.get("features", F.lit(0))).cast("double").alias("size"))
+    known = sizes.filter("movieId = 50").agg(F.first("size")).scalar()
+    return sizes.select("movieId", F.round(F.col("size") / known * 70).cast("int").alias("number"))
+
+
+@query
+def predict_ratings_planted(spark, sf_dir):
+    train, test = _planted_ratings(spark, sf_dir)
+    scored = models.predict_ratings(models.fit_als(train, **PLANTED_FIT), test)
+    return scored.select("userId", "movieId", F.round("prediction").cast("int").alias("prediction"))
+
+
+@query
+def recommend_for_users_planted(spark, sf_dir):
+    train, _ = _planted_ratings(spark, sf_dir)
+    lists = models.recommend_for_users(models.fit_als(train, **PLANTED_FIT), train, 12)
+    return lists.select("userId", "rank", "movieId", F.round("score").cast("int").alias("score"))
+
+
+def _planted_search(spark, sf_dir):
+    """Ratings of rank 2: even users count one way, odd ones the other."""
+    pairs = models.mean_ratings(inputs.raw_ratings(spark, sf_dir))
+    step = F.col("movieId") % 5
+    rating = F.when(F.col("userId") % 2 == 0, step + 1).otherwise(6 - step).cast("double")
+    train, _ = sampling.split_by_hash(pairs.withColumn("rating", rating), models.RATING_KEY, 0.8)
+    return models.tune_als(train, {"rank": [1, 2], "maxIter": [10], "regParam": [0.01, 1.0]}, folds=3)
+
+
+@query
+def tune_als_planted(spark, sf_dir):
+    """The setting of the true rank and a small penalty is best, that with neither is worst."""
+    table = models.search_table(_planted_search(spark, sf_dir))
+    place = F.when(F.col("place").isin(1, 4), F.col("place")).otherwise(2)
+    return table.select("rank", "maxIter", "regParam", place.cast("int").alias("place"))
+
+
+@query
+def best_params_planted(spark, sf_dir):
+    best = models.best_params(_planted_search(spark, sf_dir))
+    row = (int(best["rank"]), int(best["maxIter"]), float(best["regParam"]))
+    return spark.createDataFrame([row], "rank int, maxIter int, regParam double")
+
+
 @query
 def predict_connections_planted(spark, sf_dir):
     """A label that follows from one numeric field."""

@@ -9,6 +9,8 @@ from tallywright.plans.studies import CONNECTION_ORDINALS
 from tallywright.sources import spread
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+#: Lines of a rating file that are well formed, from its start.
+CLEAN_LINES = 500
 CONNECTION_FIELDS = {**CONNECTION_ORDINALS, "label": 6}
 
 
@@ -83,6 +85,24 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headered CSV of ratings in the order of events; after the first lines some are malformed."""
+    number = F.col("event_id")
+    rating = F.round(F.col("value") / 10 + 1).cast("string")
+    fields = ["userId", "movieId", "rating"]
+    user, item = F.col("user_id").cast("string"), F.get_json_object("props", "$.k")
+    kind = F.when(number >= CLEAN_LINES, number % 50)
+    line = (
+        F.when(kind == 0, F.concat_ws(",", user, F.lit("n/a"), rating))
+        .when(kind == 1, F.concat_ws(",", user, item))
+        .when(kind == 2, F.concat_ws(",", user, item, rating, F.lit("more")))
+        .otherwise(F.concat_ws(",", user, item, rating))
+    )
+    lines = table(spark, sf_dir, "events").select(number.alias("number"), line.alias("value"))
+    header = spark.range(1).select(F.lit(-1).cast("bigint").alias("number"), F.lit(",".join(fields)).alias("value"))
+    return header.union(lines).orderBy("number").select("value")
+
+
 def connection_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header-less comma-separated connection records."""
     label = (

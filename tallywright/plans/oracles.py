@@ -43,6 +43,8 @@ RATINGS = (
     "ratings as (select user_id::int as userId, json_extract_string(props, '$.k')::int as movieId, "
     "least(5.0, greatest(1.0, round(value / 10 + 1)))::double as rating from events)"
 )
+RATING_EVENTS = """e as (select event_id, user_id::int as userId, json_extract_string(props, '$.k')::int as movieId,
+  round(value / 10 + 1)::double as rating from events)"""
 RECORDS = """records as (select l_discount as duration, l_returnflag as protocol_type,
   's' || (l_suppkey % 20)::varchar as service, l_linestatus as flag,
   l_extendedprice as src_bytes, l_quantity as dst_bytes,
@@ -196,6 +198,12 @@ ORACLES: dict[str, str] = {
     "read_lines_gzip": "select unnest(string_split(text, chr(10))) as value from documents",
     "read_table_csv_ratings": f"with {RATINGS} select * from ratings",
     "read_table_csv_comments": f"with {COMMENTS} select * from comments",
+    "read_checked_csv_rows": f"""with {RATING_EVENTS} select userId, movieId, rating from e
+      where not (event_id >= 500 and event_id % 50 < 3)""",
+    "read_checked_csv_malformed": f"""with {RATING_EVENTS} select case event_id % 50
+        when 0 then userId || ',n/a,' || rating when 1 then userId || ',' || movieId
+        else userId || ',' || movieId || ',' || rating || ',more' end as value from e
+      where event_id >= 500 and event_id % 50 < 3""",
     "read_positional_fields": f"""with {RECORDS} select duration::varchar as duration, protocol_type,
       service, flag, src_bytes::varchar as src_bytes, dst_bytes::varchar as dst_bytes, label
       from records""",
@@ -278,6 +286,10 @@ ORACLES: dict[str, str] = {
     "label_palette_keys": f"with {RECORDS} select distinct label, label = 'normal.' as is_normal "
     "from records",
     "top_words": f"with {WORDS} select word, count from counts order by count desc, word limit 15",
+    "top_words_long": f"with {WORDS} select word, count from counts order by count desc, word limit 12000",
+    "top_terms_by_class_long": f"""with {_terms('"CONTENT"', True)} select * from (select "CLASS", term,
+      count(*) as count, row_number() over (partition by "CLASS" order by count(*) desc, term)::int
+      as rank from terms where "CLASS" is not null group by "CLASS", term) where rank <= 12000""",
     "bottom_words": f"with {WORDS} select word, count from counts order by count, word limit 15",
     "top_rated_items": f"""with {RATINGS} select movieId, round(avg(rating), 6) as avg_rating
       from ratings group by 1 order by avg(rating) desc, movieId limit 12""",
@@ -369,6 +381,19 @@ ORACLES: dict[str, str] = {
     "from lineitem group by all",
     "compare_splits_planted": f"""with {RATINGS} select s.train_share, count(*) > 0 as learned
       from ratings, (values (0.7::double), (0.8::double)) as s(train_share) group by 1""",
+    "fit_als_planted": f"with {TRAIN_TEST} select distinct movieId, movieId + 20 as number from train",
+    "predict_ratings_planted": f"""with {TRAIN_TEST} select userId, movieId,
+      (userId % 3 + 1) * (movieId + 20) as prediction from test
+      where userId in (select userId from train) and movieId in (select movieId from train)""",
+    "recommend_for_users_planted": f"""with {TRAIN_TEST},
+      best as (select movieId, row_number() over (order by movieId desc)::int as rank
+        from (select distinct movieId from train))
+      select userId, rank, movieId, (userId % 3 + 1) * (movieId + 20) as score
+      from (select distinct userId from train), best where rank <= 12""",
+    "tune_als_planted": """select r as rank, 10::int as maxIter, reg as regParam,
+        case when r = 2 and reg < 1 then 1 when r = 1 and reg = 1 then 4 else 2 end::int as place
+      from (values (1::int), (2::int)) a(r), (values (0.01::double), (1.0::double)) b(reg)""",
+    "best_params_planted": "select 2::int as rank, 10::int as maxIter, 0.01::double as regParam",
     "predict_connections_planted": "select count(distinct l_quantity > 25) = 2 as learned from lineitem",
     **{
         f"{name}_planted": "select count(distinct contains(text, ' the ')) = 2 as learned from documents"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -169,7 +168,7 @@ def study_connections(
             "new_label", F.col("new_label_indexed").alias("label_indexed"), "features"
         )
 
-    # equal records stay on one side; MLlib keeps its own blocks of the training part
+    # equal records stay on one side
     train, test = sampling.split_by_hash(records, records.columns, 0.8, str(seed))
     scored = materialize(models.predict(models.fit_linear_svm(ready(train)), ready(test)), "scored")
     return {
@@ -230,12 +229,8 @@ def classify_comments(
     train_text, test_text = sampling.split_exact(ready, key)
     fitted = features.fit_tfidf(ready if fit_on == "all" else train_text, "CONTENT", max_features)
     train = fitted.vectors(train_text, "CONTENT").select("CLASS", "features")
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        logistic = models.fit_logistic(train, "CLASS")
-        forest = models.fit_random_forest(train, "CLASS", trees=trees, depth=depth)
-    finally:
-        train.unpersist()
+    logistic = models.fit_logistic(train, "CLASS")
+    forest = models.fit_random_forest(train, "CLASS", trees=trees, depth=depth)
     test = fitted.vectors(test_text, "CONTENT").select("CLASS", "features")
     scored = {
         "logistic": materialize(models.predict(logistic, test), "logistic"),

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _own_folders: dict[str, str] = {}
+#: Stored tables by application.
+_paths: dict[str, list[str]] = {}
 
 
 def local_session(cpus: int | str = "*", app: str = "tallywright", **conf: str) -> SparkSession:
@@ -62,8 +66,45 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage of a result that several jobs start from; unlike cached blocks, the files
-    outlive the executors that wrote them.
+    outlive the executors that wrote them. They are deleted when the driver ends, or before by
+    :func:`stored` and :func:`discard_stored`.
     """
-    path = shared_path(df.sparkSession, name)
+    return _store(df, name)[0]
+
+
+@contextmanager
+def stored(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A :func:`materialize` d table that is deleted at the end of the block."""
+    table, path = _store(df, name)
+    try:
+        yield table
+    finally:
+        _delete(df.sparkSession, path)
+
+
+def discard_stored(spark: SparkSession) -> int:
+    """Delete all tables stored so far by this session; returns their number.
+
+    For the end of a job, when no table that reads them will be used again.
+    """
+    paths = _paths.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
+
+
+def _store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    _paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _file_system(spark, path).deleteOnExit(spark._jvm.org.apache.hadoop.fs.Path(path))
     df.write.mode("errorifexists").parquet(path, compression="zstd")
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _file_system(spark: SparkSession, path: str):  # a Hadoop FileSystem of the JVM
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    _file_system(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)

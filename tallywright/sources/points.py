@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CENTROID_SCHEMA = "cid int, c array<double>"
+#: Default of the most centroids, which are literals of the plan or part of a task's closure.
 MAX_CENTROIDS = 10_000
 
 
@@ -24,13 +25,14 @@ def read_points(lines: DataFrame, value: str = "value", out: str = "x") -> DataF
     return lines.select(*rest, number_array(F.col(value)).alias(out))
 
 
-def read_seeds(spark: SparkSession, path: str, k: int) -> DataFrame:
+def read_seeds(spark: SparkSession, path: str, k: int, most: int = MAX_CENTROIDS) -> DataFrame:
     """The first ``k`` lines of one file as centroids 0..k-1, in line order.
 
-    Only ``k`` lines are read off the front of the file, whatever its size.
+    Only ``k`` lines are read off the front of the file, whatever its size. They pass through the
+    driver; ``most`` guards it.
     """
-    if not 0 < k <= MAX_CENTROIDS:
-        raise ValueError(f"k must be between 1 and {MAX_CENTROIDS}")
+    if not 0 < k <= most:
+        raise ValueError(f"k must be between 1 and {most}")
     lines = read_points(spark.read.text(path), out="c").take(k)
     rows = [(cid, row.c) for cid, row in enumerate(lines)]
     for cid, centre in rows:
@@ -52,11 +54,11 @@ def read_centroids(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def centroid_rows(centroids: DataFrame) -> list[tuple[int, list[float]]]:
-    """Bring a centroid table to the driver, refusing one that is not small."""
-    rows = centroids.select("cid", "c").limit(MAX_CENTROIDS + 1).collect()
-    if len(rows) > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} centroids")
+def centroid_rows(centroids: DataFrame, most: int = MAX_CENTROIDS) -> list[tuple[int, list[float]]]:
+    """Bring a centroid table to the driver, refusing one of more than ``most`` rows."""
+    rows = centroids.select("cid", "c").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} centroids")
     if len({row.cid for row in rows}) < len(rows):
         raise ValueError("centroid ids repeat")
     return sorted((row.cid, list(row.c)) for row in rows)

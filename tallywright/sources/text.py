@@ -48,6 +48,50 @@ def read_table_csv(
     return reader.csv(path)
 
 
+def infer_csv_schema(spark: SparkSession, path: str, sample_lines: int = 10_000) -> StructType:
+    """Column names and types of headered CSV, from the first lines only.
+
+    ``sample_lines`` bounds what passes through the driver; a value further on that does not fit
+    the inferred type is malformed.
+    """
+    first = [row.value for row in spark.read.text(path).limit(sample_lines + 1).collect()]
+    if not first:
+        raise ValueError(f"no lines in {path}")
+    reader = spark.read.option("header", True).option("inferSchema", True).option("escape", '"')
+    return reader.csv(spark.sparkContext.parallelize(first, 1)).schema
+
+
+def read_checked_csv(
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType | None = None,
+    sample_lines: int = 10_000,
+) -> tuple[DataFrame, DataFrame]:
+    """Headered CSV as ``(rows, malformed)``: typed rows, and the lines that are none, as ``value``.
+
+    A line is malformed if it has too many or too few fields or one that its column's type does not
+    hold. Both sides come from one reading of the lines each; no field holds a line break. Without
+    a schema it is inferred from a sample, see :func:`infer_csv_schema`. Header lines, the first of
+    each file, are those equal to the header.
+    """
+    if schema is None:
+        schema = infer_csv_schema(spark, path, sample_lines)
+    typed = _parse(schema) if isinstance(schema, str) else schema
+    lines = spark.read.text(path)
+    header = ",".join(typed.names)
+    body = lines.filter((F.col("value") != header) & (F.trim("value") != ""))
+    broken = "__malformed"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken, "escape": '"'}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in typed) + f", {broken} string"
+    parsed = body.select("value", F.from_csv("value", ddl, options).alias("row"))
+    good = parsed.filter(F.col(f"row.{broken}").isNull()).select(*[F.col(f"row.`{name}`").alias(name) for name in typed.names])
+    return good, parsed.filter(F.col(f"row.{broken}").isNotNull()).select("value")
+
+
+def _parse(schema: str) -> StructType:
+    return StructType.fromDDL(schema)
+
+
 def read_positional(
     lines: DataFrame, ordinals: Mapping[str, int], sep: str = ",", value: str = "value"
 ) -> DataFrame:
