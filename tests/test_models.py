@@ -1,10 +1,14 @@
 import math
+from pathlib import Path
 
+import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tallywright.operators import evaluation, models, sampling
 from tallywright.plans import inputs, studies
+from tallywright.session import discard_stored, materialize, shared_dir, stored
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +58,56 @@ def test_search_returns_the_lowest_error(ratings):
     assert best["regParam"] in (0.1, 5.0) and best["rank"] == 2
 
 
+def test_recommendations_equal_products_of_the_factors(ratings, als):
+    """Every user's list against all products of the stored factors, in single precision as there."""
+    users = {r.id: np.array(r.features, dtype=np.float32) for r in als.userFactors.collect()}
+    items = {r.id: np.array(r.features, dtype=np.float32) for r in als.itemFactors.collect()}
+    listed = {}
+    for r in models.recommend_for_users(als, ratings, 7).collect():
+        listed.setdefault(r.userId, {})[r["rank"]] = (r.movieId, r.score)
+    assert listed.keys() == users.keys()
+    for user, own in listed.items():
+        scores = {item: float(np.dot(users[user], x)) for item, x in items.items()}
+        best = sorted(scores.values(), reverse=True)[:7]
+        assert sorted(own) == list(range(1, 8)) and len({m for m, _ in own.values()}) == 7
+        for rank, (item, score) in own.items():
+            assert math.isclose(score, scores[item], rel_tol=1e-4, abs_tol=1e-5)
+            assert math.isclose(score, best[rank - 1], rel_tol=1e-4, abs_tol=1e-5)
+
+
+def test_search_table_has_every_setting(ratings):
+    search = models.tune_als(ratings, {"rank": [1, 2], "regParam": [0.1], "maxIter": [2, 3]}, folds=2)
+    rows = models.search_table(search).orderBy("place").collect()
+    assert [(r["rank"], r.maxIter) for r in sorted(rows, key=lambda r: (r["rank"], r.maxIter))] == [(1, 2), (1, 3), (2, 2), (2, 3)]
+    assert [r.rmse for r in rows] == sorted(search.avgMetrics) and [r.place for r in rows] == [1, 2, 3, 4]
+    best = models.best_params(search)
+    assert (rows[0]["rank"], rows[0].maxIter, rows[0].rmse) == (best["rank"], best["maxIter"], best["rmse"])
+
+
+def test_training_rows_are_read_once_and_deleted(spark):
+    """The rows behind a fit are computed once, however often the optimiser reads them."""
+    rows = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: rows.add(1) or x, "double")
+    df = spark.range(400).select((F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 7).cast("double").alias("x"))
+    train = VectorAssembler(inputCols=["y"], outputCol="features").transform(df.withColumn("y", seen("x")))
+    for fit in (models.fit_linear_svm, models.fit_logistic, models.fit_random_forest):
+        before = rows.value
+        fit(train, "label")
+        assert rows.value - before == 400
+    left = [p.name for p in Path(shared_dir(spark)).iterdir() if p.name.startswith("training-")]
+    assert left == []
+
+
+def test_stored_tables_can_be_discarded(spark):
+    table = materialize(spark.range(5), "kept-for-now")
+    assert table.count() == 5
+    assert discard_stored(spark) > 0 and discard_stored(spark) == 0
+    assert not [p for p in Path(shared_dir(spark)).iterdir() if p.name.startswith("kept-for-now")]
+    with stored(spark.range(3), "for-a-block") as rows:
+        assert rows.count() == 3
+    assert not [p for p in Path(shared_dir(spark)).iterdir() if p.name.startswith("for-a-block")]
+
+
 def test_full_grid_has_27_settings():
     assert math.prod(map(len, models.FULL_GRID.values())) == 27
 

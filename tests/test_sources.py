@@ -4,7 +4,9 @@ from pyspark.errors import AnalysisException
 from tallywright.session import materialize, shared_dir
 from tallywright.sources import (
     centroid_rows,
+    infer_csv_schema,
     read_centroids,
+    read_checked_csv,
     read_lines,
     read_points,
     read_positional,
@@ -111,3 +113,28 @@ def test_materialized_tables_keep_schema_and_rows(spark):
     stored = materialize(df, "test")
     assert stored.orderBy("id").collect() == df.orderBy("id").collect()
     assert stored.dtypes == df.dtypes
+
+
+def test_malformed_lines_are_set_apart(spark, tmp_path):
+    lines = ["id,name,score", "1,a,2.5", '2,"b, ""x""",3', "x,c,1", "3,d", "4,e,1,more", "5,,", "", "6,f,n/a", "id,name,score"]
+    (tmp_path / "a.csv").write_text("\n".join(lines))
+    (tmp_path / "b.csv").write_text("id,name,score\n7,g,0\n")
+    good, bad = read_checked_csv(spark, str(tmp_path), "id int, name string, score double")
+    rows = sorted(tuple(r) for r in good.collect())
+    assert rows == [(1, "a", 2.5), (2, 'b, "x"', 3.0), (5, None, None), (7, "g", 0.0)]
+    assert good.dtypes == [("id", "int"), ("name", "string"), ("score", "double")]
+    assert sorted(r.value for r in bad.collect()) == ["3,d", "4,e,1,more", "6,f,n/a", "x,c,1"]
+    assert good.count() == 4 and bad.count() == 4
+
+
+def test_schema_from_the_first_lines(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("n,x,s\n" + "".join(f"{k},{k / 2},t{k}\n" for k in range(50)) + "oops,1,t\n")
+    good, bad = read_checked_csv(spark, str(path), sample_lines=20)
+    assert good.dtypes == [("n", "int"), ("x", "double"), ("s", "string")]
+    assert good.count() == 50 and [r.value for r in bad.collect()] == ["oops,1,t"]
+    assert infer_csv_schema(spark, str(path)).names == ["n", "x", "s"]
+    assert infer_csv_schema(spark, str(path))["n"].dataType.simpleString() == "string"
+    (tmp_path / "empty.csv").write_text("")
+    with pytest.raises(ValueError):
+        infer_csv_schema(spark, str(tmp_path / "empty.csv"))
