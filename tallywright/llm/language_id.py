@@ -26,6 +26,8 @@ from tallywright.llm.text_units import spare_name
 
 DIMENSIONS = 1024
 SEED = 20_011
+#: Default of the most languages that are learned: what the driver and each task may hold.
+MOST_LANGUAGES = 10_000
 #: Prediction for a text that is null or has no letter, or where no language was learned.
 UNKNOWN = "und"
 
@@ -124,13 +126,14 @@ def chunks(column: pa.Array) -> Iterator[tuple[list[str], list[int]]]:
 
 
 def learn(
-    docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, seed: int = SEED
+    docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, seed: int = SEED,
+    most: int = MOST_LANGUAGES,
 ) -> dict[str, np.ndarray]:
     """Language vectors from the rows with a non-null language.
 
     Tasks add up their own texts first; what is shuffled is one vector per task and language, and
-    what comes to the driver one vector per language (8 KB each; languages are a closed list).
-    Texts without letters add nothing.
+    what comes to the driver one vector per language (8 KB each). A column with more than ``most``
+    values is no list of languages and raises ValueError. Texts without letters add nothing.
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +152,9 @@ def learn(
         F.col(f"`{text}`").cast("string"), F.col(f"`{lang}`").cast("string")
     )
     sums = known.mapInArrow(add, "lang string, v array<double>").select("lang", F.posexplode("v"))
-    rows = sums.groupBy("lang", "pos").agg(F.sum("col").alias("x")).collect()
+    rows = sums.groupBy("lang", "pos").agg(F.sum("col").alias("x")).limit(most * dimensions + 1).collect()
+    if len(rows) > most * dimensions:
+        raise ValueError(f"more than {most} languages")
     vectors: dict[str, np.ndarray] = {}
     for row in rows:
         vectors.setdefault(row["lang"], np.zeros(dimensions))[row["pos"]] = row["x"]

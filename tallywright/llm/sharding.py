@@ -32,17 +32,17 @@ def _is_prime(n: int) -> bool:
     return n > 1 and all(n % d for d in range(2, int(n**0.5) + 1))
 
 
-def fill_table(shards: Sequence[str], size: int = TABLE_SIZE) -> list[int]:
+def fill_table(shards: Sequence[str], size: int = TABLE_SIZE, most_slots: int = MOST_SLOTS) -> list[int]:
     """The index of the owning shard for each slot.
 
     Shards take turns in name order, so the table does not depend on the order in which they are
     listed. Raises ValueError for no shards, repeated names, more shards than slots, a size that is
-    not prime, or one over ``MOST_SLOTS``.
+    not prime, or one over ``most_slots``, the bound of the table that is broadcast.
     """
     if not shards or len(set(shards)) != len(shards):
         raise ValueError("shards need distinct names, and one at least")
-    if not _is_prime(size) or not len(shards) <= size <= MOST_SLOTS:
-        raise ValueError(f"the table size must be a prime from {len(shards)} to {MOST_SLOTS}")
+    if not _is_prime(size) or not len(shards) <= size <= most_slots:
+        raise ValueError(f"the table size must be a prime from {len(shards)} to {most_slots}")
     turns = sorted(range(len(shards)), key=lambda i: shards[i])
     at = {i: _number(f"offset {shards[i]}") % size for i in turns}
     step = {i: _number(f"step {shards[i]}") % (size - 1) + 1 if size > 2 else 1 for i in turns}
@@ -85,11 +85,10 @@ def place(
     return hashed.join(table, slot).select(*kept, F.col(slot).alias("slot"), "shard")
 
 
-def write_shards(placed: DataFrame, path: str, files_per_shard: int = 1) -> None:
+def write_shards(placed: DataFrame, path: str) -> None:
     """Write a placed table as Parquet, one folder per shard.
 
-    Rows are dealt by slot within a shard, so that a large shard is written by several tasks.
+    Rows are dealt by slot: a shard has many slots, so it is written by many tasks, and a task
+    writes no more than one file for each shard. Equal keys, which share a slot, share a file.
     """
-    part = F.pmod(F.xxhash64("slot"), F.lit(files_per_shard))
-    dealt = placed.repartition("shard", part) if files_per_shard > 1 else placed.repartition("shard")
-    dealt.write.partitionBy("shard").parquet(path)
+    placed.repartition("slot").write.partitionBy("shard").parquet(path)

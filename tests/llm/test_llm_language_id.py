@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from llm_rows import awkward_docs, empty_docs
 from pyspark.sql import functions as F
 
@@ -57,6 +58,8 @@ def test_awkward_rows(spark):
     assert L.learn(empty_docs(spark)) == {}
     assert L.identify(empty_docs(spark), languages).count() == 0
     assert {r.lang_pred for r in L.identify(docs, {}).collect()} == {"und"}
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        L.learn(docs, most=2)
 
 
 def test_ties_go_to_the_language_that_sorts_first(spark):

@@ -62,5 +62,13 @@ def test_awkward_rows(spark, tmp_path):
     assert placed.count() == docs.count() and dict(placed.dtypes)["slot"] == "int" and "__slot" in placed.columns
     assert placed.groupBy("doc_id").agg(F.countDistinct("shard").alias("n")).filter("n > 1").count() == 0
     assert sharding.place(empty_docs(spark), ["doc_id"], ["a"]).count() == 0
-    sharding.write_shards(placed, str(tmp_path / "out"), files_per_shard=2)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == docs.count()
+    many = sharding.place(spark.range(5000), ["id"], ["a", "b"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would join so few rows
+    try:
+        sharding.write_shards(many, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5000
+    assert len(list((tmp_path / "out" / "shard=a").glob("*.parquet"))) > 1  # no task writes a shard alone
+    sharding.write_shards(placed, str(tmp_path / "odd"))
+    assert spark.read.parquet(str(tmp_path / "odd")).count() == docs.count()
