@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tallywright.functions.numeric import finite
 from tallywright.functions.vectors import UNROLL_LIMIT, nearest_arrow, with_nearest_unrolled
-from tallywright.sources.points import CENTROID_SCHEMA, centroid_rows
+from tallywright.operators.many_centroids import assign_nearest_many
+from tallywright.sources.points import CENTROID_SCHEMA, MAX_CENTROIDS, centroid_rows
 
 Centroids = list[tuple[int, list[float]]]
 Features = str | Sequence[str]
@@ -42,13 +43,23 @@ def _valid(features: Features, width: int) -> Column:
 
 
 def assign_nearest(
-    points: DataFrame, centroids: DataFrame | Centroids, features: Features = "x"
+    points: DataFrame,
+    centroids: DataFrame | Centroids,
+    features: Features = "x",
+    most_literal: int = MAX_CENTROIDS,
 ) -> DataFrame:
     """Add ``cid``, the nearest centroid by squared Euclidean distance, ties to the lowest id.
 
     ``features`` is one array column or a list of number columns; a point that is not valid (see
-    :func:`split_valid_points`) gets null. There is no join and no shuffle: the centroids are literals of the plan.
+    :func:`split_valid_points`) gets null. There is no join and no shuffle: the centroids are
+    literals of the plan. A table of more than ``most_literal`` centroids stays a table, and points
+    meet the groups of centroids that can be nearest (:func:`assign_nearest_many`).
     """
+    if isinstance(centroids, DataFrame):
+        first = centroids.select(F.size("c").alias("width")).limit(most_literal + 1).collect()
+        if len(first) > most_literal:
+            x = F.col(features) if isinstance(features, str) else F.array(*features)
+            return assign_nearest_many(points, centroids, x, _valid(features, first[0]["width"]))
     rows = _rows(centroids)
     width = _width(rows)
     if width * len(rows) <= UNROLL_LIMIT:

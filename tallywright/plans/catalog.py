@@ -592,6 +592,14 @@ def assign_nearest_wide(spark, sf_dir):
     return assign_nearest(inputs.embedding_points(spark, sf_dir), seeds).select("vec_id", "cid")
 
 
+@query
+def assign_nearest_many(spark, sf_dir):
+    """A fourth of the vectors as centroids, which stay a table past fifty."""
+    points = inputs.embedding_points(spark, sf_dir)
+    centroids = points.filter("vec_id % 4 = 0").select(F.col("vec_id").cast("int").alias("cid"), F.col("x").alias("c"))
+    return assign_nearest(points, centroids, most_literal=50).select("vec_id", "cid")
+
+
 @query
 def recompute_centroids_planar(spark, sf_dir):
     means = recompute_centroids(_assigned(spark, sf_dir), ["px", "py"], 2)

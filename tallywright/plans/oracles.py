@@ -356,6 +356,11 @@ ORACLES: dict[str, str] = {
       from points order by md5({KEY_TEXT} || '7'), {KEY_TEXT} limit 8""",
     "assign_nearest_planar": f"{_assigned()} select {KEY}, cid::int as cid from assigned",
     "assign_nearest_wide": f"{WIDE} select vec_id, cid from assigned",
+    "assign_nearest_many": """with cells as (select vec_id, unnest(embedding)::double as x,
+        generate_subscripts(embedding, 1) as i from embeddings),
+      distances as (select a.vec_id, b.vec_id as cid, sum((a.x - b.x) * (a.x - b.x)) as d
+        from cells a join cells b using (i) where b.vec_id % 4 = 0 group by all)
+      select vec_id, arg_min(cid, (d, cid))::int as cid from distances group by vec_id""",
     "recompute_centroids_planar": f"{_kmeans(1)} select cid::int as cid, size, "
     "round(cx, 6) as cx, round(cy, 6) as cy from c1",
     "recompute_centroids_wide": f"""{WIDE} select cid, (i - 1)::int as place,

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywright.operators import clustering as C
+from tallywright.operators import many_centroids
 from tallywright.sources import read_points
 
 
@@ -145,3 +146,39 @@ def test_sizes(cloud):
     values, df = cloud
     sizes = C.cluster_sizes(C.assign_nearest(df, [(0, [0.0, 0.0]), (1, [30.0, 30.0])]))
     assert sum(r.size for r in sizes.collect()) == len(values)
+
+
+@pytest.mark.parametrize("task_points", [40, 50_000])
+def test_many_centroids_equal_a_comparison_with_all(spark, monkeypatch, task_points):
+    monkeypatch.setattr(many_centroids, "TASK_POINTS", task_points)
+    rng = np.random.default_rng(4)
+    centres = np.round(rng.normal(0, 10, (700, 3)), 1)
+    centres[100:160] = centres[5]  # equal ones: the lowest id wins
+    points = np.concatenate([np.round(rng.normal(0, 10, (500, 3)), 1), np.repeat(centres[[5, 300]], 90, axis=0), [[1e6, -1e6, 3]]])
+    ids = rng.permutation(700) * 3
+    table = spark.createDataFrame([(int(i), [float(v) for v in c]) for i, c in zip(ids, centres, strict=True)], "cid int, c array<double>")
+    rows = [(k, [float(v) for v in p], "x") for k, p in enumerate(points)]
+    rows += [(9000, None, "x"), (9001, [1.0], "x"), (9002, [1.0, float("nan"), 2.0], "x")]
+    df = spark.createDataFrame(rows, "id int, x array<double>, cid string").repartition(5)
+    expected = {9000: None, 9001: None, 9002: None}
+    for k, p in enumerate(points):
+        total = np.zeros(700)
+        for j in range(3):
+            total += (p[j] - centres[:, j]) ** 2
+        expected[k] = int(min(zip(total.tolist(), ids.tolist(), strict=True))[1])
+    got = C.assign_nearest(df, table, most_literal=600)
+    assert got.columns == ["id", "x", "cid"] and {r.id: r.cid for r in got.collect()} == expected
+    few = {r.id: r.cid for r in C.assign_nearest(df.drop("cid"), table, most_literal=700).collect()}
+    assert few == expected
+    with pytest.raises(ValueError):
+        C.assign_nearest(df, table.union(table), most_literal=10)
+
+
+def test_most_groups_are_left_out(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(0, 1, (2000, 2)) + 100 * rng.integers(0, 40, (2000, 1))
+    pivots = centres[:45]
+    near = many_centroids.square_distances(centres, pivots).argmin(axis=1)
+    radius = np.array([np.sqrt(((centres[near == g] - pivots[g]) ** 2).sum(axis=1)).max() for g in range(45)])
+    df = spark.createDataFrame([(k, [float(v) for v in centres[k]]) for k in range(2000)], "row long, x array<double>")
+    assert many_centroids._candidates(df, pivots, radius).count() < 2000 * 15
