@@ -17,7 +17,7 @@ import numpy as np
 PRIMES = (2**31 - 1, 2**31 - 19)
 BYTE_BASES, WORD_BASES = (0x2545F491, 0x1B873593), (0x3C6EF372, 0x27D4EB2F)
 #: Bytes hashed at once; a piece ends between words.
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 
 @lru_cache(maxsize=16)
@@ -36,12 +36,15 @@ def room_for(n: int) -> int:
     return max(PIECE, 1 << max(n, 1).bit_length())
 
 
-def ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, prime: int) -> np.ndarray:
-    """The polynomial of each range of values (below 2**31), its first value having power 0."""
+def ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, prime: int, bits: int = 31) -> np.ndarray:
+    """The polynomial of each range of values (of so many bits), its first value having power 0."""
     n = len(values)
     p = np.uint64(prime)
+    terms = values * powers(base, prime, room_for(n))[:n]
+    if bits + 31 + n.bit_length() > 64:  # else the sums fit as they are
+        terms %= p
     prefix = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * powers(base, prime, room_for(n))[:n] % p, out=prefix[1:])  # n < 2**33 terms fit
+    np.cumsum(terms, out=prefix[1:])
     return (prefix[ends] - prefix[starts]) % p * powers(pow(base, -1, prime), prime, room_for(n))[starts] % p
 
 
@@ -72,7 +75,7 @@ def word_values(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         part = data[low : int(ends[stop - 1])].astype(np.uint64) + np.uint64(1)
         s, e = starts[at:stop] - low, ends[at:stop] - low
         for k, (base, prime) in enumerate(zip(BYTE_BASES, PRIMES, strict=True)):
-            out[k, at:stop] = ranges(part, s, e, base, prime)
+            out[k, at:stop] = ranges(part, s, e, base, prime, bits=9)
         at = stop
     return out
 
