@@ -776,12 +776,12 @@ def fit_random_forest(spark, sf_dir):
 
 
 def _learned(scored, label):
-    """True if the predictions beat the most frequent class by a tenth of the rows."""
+    """Rows scored, and whether the predictions beat the most frequent class by a tenth of them."""
     counts = scored.groupBy(F.col(label).alias("label")).agg(
         F.count("*").alias("n"), F.count_if(F.col(label) == F.col("prediction")).alias("hits")
     )
     total = F.sum("n")
-    return counts.agg((F.sum("hits") / total > F.max("n") / total + 0.1).alias("learned"))
+    return counts.agg(total.alias("rows"), (F.sum("hits") / total > F.max("n") / total + 0.1).alias("learned"))
 
 
 @query

@@ -52,6 +52,9 @@ RECORDS = """records as (select l_discount as duration, l_returnflag as protocol
     else 'normal.' end as label from lineitem)"""
 LABELLED = f"""{RECORDS}, labelled as (select *,
   case when label = 'normal.' then 'normal' else 'attack' end as new_label from records)"""
+RECORD_TEXT = _key_text("duration", "protocol_type", "service", "flag", "src_bytes", "dst_bytes", "label", "new_label").replace(
+    "|| duration", "|| duration::varchar"
+)
 COMMENTS = """comments as (select d.doc_id, d.text as "CONTENT", l.toxic::double as "CLASS"
   from documents d left join labels l using (doc_id))"""
 CLEANED = (
@@ -399,9 +402,14 @@ ORACLES: dict[str, str] = {
         case when r = 2 and reg < 1 then 1 when r = 1 and reg = 1 then 4 else 2 end::int as place
       from (values (1::int), (2::int)) a(r), (values (0.01::double), (1.0::double)) b(reg)""",
     "best_params_planted": "select 2::int as rank, 10::int as maxIter, 0.01::double as regParam",
-    "predict_connections_planted": "select count(distinct l_quantity > 25) = 2 as learned from lineitem",
+    "predict_connections_planted": f"""with {RECORDS},
+      planted as (select *, case when dst_bytes > 25 then 'attack' else 'normal' end as new_label from records)
+      select count(*) as rows, count(distinct new_label) = 2 as learned from planted
+      where ('0x' || substr(md5({RECORD_TEXT} || '42'), 1, 8))::bigint / 4294967296.0 >= 0.8""",
     **{
-        f"{name}_planted": "select count(distinct contains(text, ' the ')) = 2 as learned from documents"
+        f"{name}_planted": f"""with {COMMENTS}, ready as (select distinct {CLEANED} as "CONTENT",
+          contains("CONTENT", ' the ') as "CLASS" from comments)
+          select ceil(0.2::double * count(*))::bigint as rows, count(distinct "CLASS") = 2 as learned from ready"""
         for name in ("fit_logistic", "fit_random_forest")
     },
     "rmse": f"with {PAIRS.format(n=3)} select round(sqrt(avg((label - prediction) ** 2)), 6) as rmse "
