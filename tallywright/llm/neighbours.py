@@ -67,15 +67,15 @@ def kd_leaves(points: np.ndarray, leaf: int) -> list[np.ndarray]:
     return out
 
 
-def inner_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products of all pairs, each added up from the first component to the last.
+def inner_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Inner product of each row with the other side's, added up from the first component to the last.
 
     A matrix product adds in an order that follows from the shapes, so equal vectors could get
     scores that differ in the last bit, and ties would not be ties.
     """
-    total = np.zeros((len(queries), len(vectors)))
-    for x, y in zip(queries.T, np.ascontiguousarray(vectors.T), strict=True):
-        total += x[:, None] * y[None, :]
+    total = np.zeros(len(left))
+    for x, y in zip(left.T, right.T, strict=True):
+        total += x * y
     return total
 
 
@@ -102,6 +102,8 @@ def search_block(
     reach[reach < ROUNDING * top_square] = 0.0
     order = np.argsort(reach, axis=1, kind="stable")
     query_squares = np.einsum("ij,ij->i", queries, queries)
+    # more than two sums of ``width`` products in any order can differ by
+    slack = 4 * width * np.finfo(np.float64).eps * np.sqrt(query_squares * top_square)
     best = np.full((n, k), -np.inf)
     names = np.full((n, k), np.iinfo(np.int64).max)
     active = np.arange(n)
@@ -120,9 +122,17 @@ def search_block(
         cuts = np.flatnonzero(np.diff(next_leaf[by_leaf])) + 1
         for part in np.split(by_leaf, cuts):
             rows, who = leaves[next_leaf[part[0]]], active[part]
-            scores = inner_products(queries[who], vectors[rows])
+            # the matrix product only tells who may be among the best, within its rounding
+            near = queries[who] @ vectors[rows].T >= (best[who, k - 1] - slack[who])[:, None]
+            near &= ids[rows][None, :] != query_ids[who][:, None]
+            some = np.flatnonzero(near.any(axis=1))
+            if not len(some):
+                continue
+            who, near = who[some], near[some]
+            scores = np.full(near.shape, -np.inf)
+            i, j = np.nonzero(near)
+            scores[i, j] = inner_products(queries[who[i]], vectors[rows[j]])
             found = np.broadcast_to(ids[rows], scores.shape)
-            scores = np.where(found == query_ids[who][:, None], -np.inf, scores)
             scores = np.concatenate([best[who], scores], axis=1)
             found = np.concatenate([names[who], found], axis=1)
             keep = np.lexsort((found, -scores), axis=-1)[:, :k]
