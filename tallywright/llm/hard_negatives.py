@@ -185,7 +185,8 @@ def negatives_of(k: int, low: int, high: int, scale: float) -> Callable[[pa.Tabl
         asked_rows = zip(asked["id"].to_pylist(), asked["label"].to_pylist(), asked["positives"].to_pylist(), anchors, strict=True)
         for name, label, positives, vector in asked_rows:
             scores = block.scores(vector)
-            bands = [(p["other_id"], p["score"], *band(p["score"], low, high)) for p in positives]
+            known = dict.fromkeys((p["other_id"], p["score"]) for p in positives)
+            bands = [(other, score, *band(score, low, high)) for other, score in known]
             top, least = max(b[3] for b in bands), min(b[2] for b in bands)
             rows = np.flatnonzero((block.labels != label) & (scores >= max(least, LONG.min)) & (scores <= min(top, LONG.max)))
             order = rows[np.lexsort((block.ids[rows], ~scores[rows]))]
@@ -215,7 +216,9 @@ def mine_negatives(
 
     Rows with a null id or label, a null vector, or a null or non-finite component take no part;
     vectors of another width than the anchor's are not compared with it. Ids should be unique: rows
-    that share the anchor's id are no candidates, other rows that share one are ranked one by one.
+    that share the anchor's id are no candidates, other rows that share one are ranked one by one,
+    and a positive found twice gives its negatives once. Equal anchors count once; different ones
+    that share an id and a label are searched with together.
     A positive without any row in its band gives no rows; empty tables give none. Other columns
     are not carried.
     """
@@ -242,6 +245,7 @@ def mine_negatives(
     candidates = dealt(held.drop("is_anchor"), "block", blocks, "part", parts).groupBy(*meet)
     # columns of their own: rows of one table meet other rows of it
     asked = held.filter("is_anchor").select(*[F.col(c).alias(c) for c in ("id", "label", "vector", "width")])
+    asked = asked.dropDuplicates(["id", "label", "vector"])
     near = dealt(asked, "part", parts, "block", blocks).groupBy(*meet)
     found = near.cogroup(candidates).applyInArrow(positives_of(positives, scale), FOUND)
     order = Window.partitionBy("anchor_id").orderBy(F.col("score").desc(), "other_id")

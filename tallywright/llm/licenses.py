@@ -24,7 +24,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.text_units import spare_name
 from tallywright.session import materialize
 
 #: Share of a template's words that a block must hold, words of a block, and words between the
@@ -184,10 +183,10 @@ def scan_licenses(
     if not 0 < containment <= 1:
         raise ValueError("containment above 0, up to 1")
     pieces = cut_templates(templates)
-    row = "row" if key.lower() != "row" else "row_number"
-    own = spare_name(docs, "text")
-    slim = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").cast("string").alias(own))
-    worded = slim.select(key, license_words(F.col(own)).alias("words"))
+    # the key goes by a name of its own, so that it meets no column made here
+    row, own = "row", "key"
+    slim = docs.select(F.col(f"`{key}`").alias(own), F.col(f"`{text}`").cast("string").alias("text"))
+    worded = slim.select(own, license_words(F.col("text")).alias("words"))
     known = {w for t in pieces for w in t.words} | {w for p in phrases for w in template_words(p)}
     order = word_order(worded.select("words"), sorted(known))
     place = {word: k for k, word in enumerate(order)}
@@ -211,7 +210,7 @@ def scan_licenses(
     ]
     found = gated.select(
         F.monotonically_increasing_id().alias(row),
-        key,
+        own,
         F.size("words").cast("long").alias("n_words"),
         F.array(*bases).cast("array<struct<label:string,places:array<int>>>").alias("base"),
         looked(blocks_of(F.col("words"), order, prefix, least), "array<array<string>>").alias("blocks"),
@@ -219,7 +218,7 @@ def scan_licenses(
     # written once: the row numbers stay, and the texts are read no more
     found = materialize(found, "license-blocks")
     base = found.select(
-        row, key, "n_words", "blocks",
+        row, own, "n_words", "blocks",
         F.flatten(F.transform("base", lambda b: b["places"])).alias("places"),
         F.transform(F.filter("base", lambda b: F.size(b["places"]) > 0), lambda b: b["label"]).alias("base_labels"),
     )
@@ -236,7 +235,7 @@ def scan_licenses(
     everything = candidates.select(others.columns).unionByName(others)
     none = F.array().cast("array<string>")
     return everything.select(
-        key,
+        F.col(own).alias(key),
         "n_words",
         F.size("places").cast("long").alias("n_base"),
         F.array_min("places").cast("long").alias("first_word"),
