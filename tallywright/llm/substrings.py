@@ -37,7 +37,7 @@ from tallywright.session import materialize
 WINDOW = 20
 #: Bytes of text whose windows a task packs at once, that one hash group may stand for, and that
 #: one group of documents may hold when passages are cut out.
-CHUNK_BYTES, GROUP_BYTES, PART_BYTES = 6 << 20, 6 << 20, 16 << 20
+CHUNK_BYTES, GROUP_BYTES, PART_BYTES = 6 << 20, 6 << 20, 4 << 20
 #: Hash groups are a power of two of at least this number, so that 7 bytes hold the rest; beyond
 #: ``FAN`` groups they are dealt in two steps, so that rows stay filled.
 LEAST_GROUPS, FAN = 256, 4096
