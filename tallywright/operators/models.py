@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.base import Model
 from pyspark.ml.classification import (
     LinearSVC,
@@ -16,14 +19,16 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywright.functions.hashing import hash_number, hash_text
 from tallywright.operators.evaluation import regression_scores
 from tallywright.operators.sampling import split_by_hash
-from tallywright.session import ensure_checkpointing, stored
+from tallywright.session import ensure_checkpointing, materialize, stored
 
+#: Users and items of a block of factors that a task multiplies.
+BLOCK = 2_048
 RATING_KEY = ("userId", "movieId")
 # The full search grid.
 FULL_GRID = {"rank": [10, 50, 100], "maxIter": [10, 15, 20], "regParam": [0.01, 0.1, 1.0]}
@@ -128,15 +133,51 @@ def best_params(search: CrossValidatorModel) -> dict[str, float]:
     return {**params, "rmse": float(search.avgMetrics[place])}
 
 
-def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 12) -> DataFrame:
-    """Top n items per listed user, ``(userId, rank, movieId, score)``; rated items may appear."""
-    lists = model.recommendForUserSubset(users.select("userId").distinct(), n)
-    return lists.select("userId", F.posexplode("recommendations").alias("place", "item")).select(
-        "userId",
-        (F.col("place") + 1).alias("rank"),
-        F.col("item.movieId").alias("movieId"),
-        F.col("item.rating").cast("double").alias("score"),
-    )
+def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 12, block: int = BLOCK) -> DataFrame:
+    """Top n items per listed user, ``(userId, rank, movieId, score)``; rated items may appear.
+
+    Blocks of users meet blocks of items, each pair multiplied in one task that hands on n items
+    for each user; the best of all blocks are ranked. Ties go to the lower item. Users that the
+    model does not know have no list.
+    """
+    if n < 1:
+        raise ValueError("n from 1")
+    asked = model.userFactors.join(users.select(F.col("userId").alias("id")).distinct(), "id")
+    asked, items = (materialize(df.select("id", "features"), name) for df, name in ((asked, "users"), (model.itemFactors, "items")))
+    blocks, parts = (max(1, math.ceil(df.count() / block)) for df in (items, asked))
+
+    def dealt(df: DataFrame, own: str, count: int, other: str, copies: int) -> DataFrame:
+        part = F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
+        return df.withColumn(own, part).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+
+    left = dealt(asked, "part", parts, "block", blocks).groupBy("part", "block")
+    right = dealt(items, "block", blocks, "part", parts).groupBy("part", "block")
+    found = left.cogroup(right).applyInArrow(_best_products(n), "userId int, movieId int, score double")
+    order = Window.partitionBy("userId").orderBy(F.desc("score"), "movieId")
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    return ranked.select("userId", "rank", "movieId", "score")
+
+
+def _best_products(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The n best items of each user among those of one block."""
+    schema = pa.schema([("userId", pa.int32()), ("movieId", pa.int32()), ("score", pa.float64())])
+
+    def best(users: pa.Table, items: pa.Table) -> pa.Table:
+        if not users.num_rows or not items.num_rows:
+            return schema.empty_table()
+        items = items.sort_by("id")
+        u, v = (np.array(side["features"].to_pylist(), dtype=np.float64) for side in (users, items))
+        scores = np.zeros((len(u), len(v)))
+        for x, y in zip(u.T, v.T, strict=True):  # in one order, so that equal factors tie
+            scores += x[:, None] * y[None, :]
+        place = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+        return pa.table(
+            [np.repeat(users["id"].to_numpy(), place.shape[1]), items["id"].to_numpy()[place.ravel()],
+             np.take_along_axis(scores, place, axis=1).ravel()],
+            schema=schema,
+        )
+
+    return best
 
 
 def fit_linear_svm(

@@ -58,21 +58,24 @@ def test_search_returns_the_lowest_error(ratings):
     assert best["regParam"] in (0.1, 5.0) and best["rank"] == 2
 
 
-def test_recommendations_equal_products_of_the_factors(ratings, als):
-    """Every user's list against all products of the stored factors, in single precision as there."""
-    users = {r.id: np.array(r.features, dtype=np.float32) for r in als.userFactors.collect()}
-    items = {r.id: np.array(r.features, dtype=np.float32) for r in als.itemFactors.collect()}
+@pytest.mark.parametrize("block", [7, 2_048])
+def test_recommendations_equal_products_of_the_factors(spark, ratings, als, block):
+    """Every user's list against all products of the stored factors, and against the model's own."""
+    users = {r.id: np.array(r.features, dtype=float) for r in als.userFactors.collect()}
+    items = {r.id: np.array(r.features, dtype=float) for r in als.itemFactors.collect()}
+    some = ratings.select("userId").union(spark.createDataFrame([(99_999,)], "userId int"))
     listed = {}
-    for r in models.recommend_for_users(als, ratings, 7).collect():
+    for r in models.recommend_for_users(als, some, 7, block=block).collect():
         listed.setdefault(r.userId, {})[r["rank"]] = (r.movieId, r.score)
     assert listed.keys() == users.keys()
-    for user, own in listed.items():
+    own = {r.userId: r.recommendations for r in als.recommendForAllUsers(7).collect()}
+    for user, found in listed.items():
         scores = {item: float(np.dot(users[user], x)) for item, x in items.items()}
-        best = sorted(scores.values(), reverse=True)[:7]
-        assert sorted(own) == list(range(1, 8)) and len({m for m, _ in own.values()}) == 7
-        for rank, (item, score) in own.items():
-            assert math.isclose(score, scores[item], rel_tol=1e-4, abs_tol=1e-5)
-            assert math.isclose(score, best[rank - 1], rel_tol=1e-4, abs_tol=1e-5)
+        best = sorted(scores, key=lambda i: (-scores[i], i))[:7]
+        assert [found[k][0] for k in range(1, 8)] == best
+        for k, item in enumerate(best):
+            assert math.isclose(found[k + 1][1], scores[item], rel_tol=1e-9)
+            assert math.isclose(own[user][k].rating, scores[item], rel_tol=1e-4, abs_tol=1e-5)
 
 
 def test_search_table_has_every_setting(ratings):
