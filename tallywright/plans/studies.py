@@ -159,6 +159,8 @@ def study_connections(
     ``invalid`` says what becomes of records with a null feature: ``skip`` leaves them out of the
     model and its scores (not out of the counts), ``error`` stops at one, ``keep`` takes them as NaN.
     """
+    # a filter on the hash of whole records would parse each line again for every field
+    records = materialize(records, "records")
     fitted = features.fit_features(
         records, CONNECTION_CATEGORIES, CONNECTION_VECTOR, invalid=invalid
     )
