@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import (
@@ -90,27 +90,21 @@ class TfidfTable:
         return self.vocabulary.select("place", "term")
 
     def _weighed(self, stored: DataFrame, row: str, keep: Sequence[str] = ()) -> DataFrame:
-        """``(row, keep..., __entries)``: entries (place, term, weight) in the order of places."""
+        """``(row, keep..., __raw)``: entries (place, term, weight) in the order of places, not yet scaled."""
         counts = stored.select(row, *keep, F.inline("__counts"))
         met = lookup(counts, self.vocabulary, "term", ["place", "idf"], "documents", self.hot_terms)
         raw = met.filter(F.col("place").isNotNull()).select(
             row, *keep, F.struct("place", "term", (F.col("tf") * F.col("idf")).alias("weight")).alias("__entry")
         )
         # no more entries than the row has terms
-        gathered = raw.groupBy(row, *keep).agg(F.array_sort(F.collect_list("__entry")).alias("__raw"))
-        squares = F.aggregate("__raw", F.lit(0.0), lambda total, e: total + e["weight"] * e["weight"])
-        normed = gathered.withColumn("__norm", F.sqrt(squares))
-        scaled = F.transform(
-            "__raw",
-            lambda e: F.struct(e["place"], e["term"], (e["weight"] / F.col("__norm")).alias("weight")),
-        )
-        return normed.select(row, *keep, scaled.alias("__entries"))
+        return raw.groupBy(row, *keep).agg(F.sort_array(F.collect_list("__entry")).alias("__raw"))
 
     def long(self, df: DataFrame, column: str, keep: Sequence[str]) -> DataFrame:
         """``(keep..., term, weight)``, one row per document and vocabulary term in it."""
         row = spare_name(df, "row")
         stored = materialize(_counted(df, column, keep, row), "term-counts")
-        return self._weighed(stored, row, keep).select(*keep, F.inline("__entries")).select(*keep, "term", "weight")
+        scaled = _scaled(F.col("__raw"), lambda e, weight: F.struct(e["term"].alias("term"), weight.alias("weight")))
+        return self._weighed(stored, row, keep).select(*keep, F.inline(scaled)).select(*keep, "term", "weight")
 
     def vectors(self, df: DataFrame, column: str, out: str = "features") -> DataFrame:
         """Add the sparse weight vector; rows without a vocabulary term get an empty one."""
@@ -120,12 +114,12 @@ class TfidfTable:
         kept = [name for name in df.columns if name != out]
         stored = materialize(_counted(df, column, df.columns, row), "term-counts")
         joined = stored.join(self._weighed(stored, row), row, "left")
-        entries = F.coalesce("__entries", F.array().cast("array<struct<place:int,term:string,weight:double>>"))
+        entries = F.coalesce("__raw", F.array().cast("array<struct<place:int,term:string,weight:double>>"))
         vector = F.struct(
             F.lit(0).cast("tinyint").alias("type"),
             F.lit(self.size).alias("size"),
             F.transform(entries, lambda e: e["place"]).alias("indices"),
-            F.transform(entries, lambda e: e["weight"]).alias("values"),
+            _scaled(entries, lambda _, weight: weight).alias("values"),
         )
         # a vector column is stored as these four fields, so it can be read back as one
         path = shared_path(df.sparkSession, "vectors")
@@ -135,6 +129,19 @@ class TfidfTable:
         return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def _scaled(entries: Column, value: Callable[[Column, Column], Column]) -> Column:
+    """The value of every entry and its weight at unit length, squares added up in the order of places.
+
+    The norm is a lambda's argument, which is computed once for a row. A column for it would be merged
+    into the lambda that divides by it, and computed once for each entry.
+    """
+    squares = F.aggregate(entries, F.lit(0.0), lambda total, e: total + e["weight"] * e["weight"])
+    scaled = F.transform(
+        F.array(F.sqrt(squares)), lambda norm: F.transform(entries, lambda e: value(e, e["weight"] / norm))
+    )
+    return F.get(scaled, F.lit(0))
+
+
 def _counted(df: DataFrame, column: str, keep: Sequence[str], row: str) -> DataFrame:
     """The kept columns, a row number, and ``__counts``: (term, tf) of the row's distinct terms."""
     kept = [F.col(f"`{c}`") for c in keep]

@@ -1,5 +1,6 @@
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -113,6 +114,26 @@ def test_a_vocabulary_table_ranks_many_terms(spark, monkeypatch):
         assert got.keys() == expected.keys() and all(math.isclose(got[k], expected[k]) for k in expected)
 
 
+@pytest.mark.parametrize("size", [None, 5000])
+def test_a_long_row_is_scaled_by_one_norm(docs, size):
+    """The sum of squares stands in the array of one norm, not in the division of each entry."""
+    weights = features.tfidf_long(docs, "text", ["id"], size, broadcast_terms=0, hot_terms=1)
+    plan = weights._jdf.queryExecution().optimizedPlan().toString()
+    assert "array(SQRT(aggregate(" in plan and "/ SQRT(" not in plan
+
+
+def test_vectors_of_a_long_row_are_scaled_by_one_norm(spark):
+    """A norm for each entry would take 2.5 thousand million steps."""
+    words = [" ".join(f"w{i}" for i in range(n)) for n in (30_000, 40_000)]
+    df = spark.createDataFrame(list(enumerate(words)), "id int, text string")
+    began = time.monotonic()
+    rows = features.tfidf_vectors(df, "text", None, broadcast_terms=0).orderBy("id").collect()
+    assert time.monotonic() - began < 40
+    assert [row.features.numNonzeros() for row in rows] == [30_000, 40_000]
+    for row in rows:
+        assert math.isclose(float(np.linalg.norm(row.features.values)), 1.0, rel_tol=1e-9)
+
+
 def test_class_means_from_a_vocabulary_table(docs):
     one, two = (features.mean_tfidf_by_class(docs, "text", "k", 1, 10, 100, None, **fit).collect() for fit in ({}, BY_TABLE))
     assert [r.term for r in one] == [r.term for r in two]
