@@ -2,15 +2,15 @@
 
 Centroids are grouped around pivots, some of themselves. A point's distance to a pivot and the
 radius of the pivot's group bound its distance to every centroid of the group, by the triangle
-inequality, so most groups cannot hold its nearest centroid. The point goes to the others, meets
-their centroids there, and the least distance over its groups is the answer, as exact as a
-comparison with all centroids.
+inequality, so most groups cannot hold its nearest centroid. The point meets the centroids of the
+others, slice by slice of the groups, and the least distance over the slices is the answer, as exact
+as a comparison with all centroids.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 from tallywright.functions.naming import spare_name
 from tallywright.session import materialize
 
-#: Most pivots, which every task holds; points of one group that a task compares; sums made at once.
-MOST_PIVOTS, TASK_POINTS, BLOCK = 1_000, 50_000, 1 << 22
+#: Most pivots, which every task holds; most points that a task compares, and most numbers in them, or in
+#: the centroids it compares them with.
+MOST_PIVOTS, TASK_POINTS, TASK_VALUES = 1_000, 50_000, 1 << 20
+#: Sums made at once; centroids met at once; points for which a further task is worth its start.
+BLOCK, STEP, FEW_POINTS = 1 << 19, 512, 250
 #: Share by which a bound may be off through rounding.
 SLACK = 1e-9
 
@@ -56,52 +59,93 @@ def _grouped(centroids: DataFrame, pivots: np.ndarray) -> DataFrame:
     return centroids.select("cid", "c").mapInArrow(group, "group long, cid long, c array<double>, reach double")
 
 
-def _candidates(points: DataFrame, pivots: np.ndarray, radius: np.ndarray) -> DataFrame:
-    """``(row, x, group)``: every point with each group that may hold its nearest centroid."""
+def _may_hold(part: np.ndarray, pivots: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Which groups may hold the nearest centroid of each point."""
+    distances = np.sqrt(square_distances(part, pivots))
+    # some centroid of a group is no farther than its pivot and radius together
+    most = (distances + np.where(radius < 0, np.inf, radius)).min(axis=1) * (1 + SLACK)
+    return (distances - radius) * (1 - SLACK) <= most[:, None]
+
+
+def _candidates(points: DataFrame, pivots: np.ndarray, radius: np.ndarray, slices: np.ndarray | None = None) -> DataFrame:
+    """``(row, x, slice)``: every point with each slice of groups that may hold its nearest centroid.
+
+    ``slices`` gives the slice of each group; by default each is its own.
+    """
     width = pivots.shape[1]
+    names, own = np.unique(np.arange(len(pivots)) if slices is None else slices, return_inverse=True)
+    rows, step = max(1, BLOCK // len(pivots)), max(1, TASK_VALUES // max(1, width))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch.column(1), width)
-            for low in range(0, len(x), max(1, BLOCK // len(pivots))):
-                part = x[low : low + max(1, BLOCK // len(pivots))]
-                distances = np.sqrt(square_distances(part, pivots))
-                # some centroid of a group is no farther than its pivot and radius together
-                most = (distances + np.where(radius < 0, np.inf, radius)).min(axis=1) * (1 + SLACK)
-                who, group = np.nonzero((distances - radius) * (1 - SLACK) <= most[:, None])
-                at = pa.array(who + low)
-                yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(group)], ["row", "x", "group"])
+            for low in range(0, len(x), rows):
+                may = _may_hold(x[low : low + rows], pivots, radius)
+                met = np.stack([may[:, own == k].any(axis=1) for k in range(len(names))], axis=1)
+                who, place = np.nonzero(met)
+                for first in range(0, len(who), step):  # a vector is copied for each of its slices
+                    at = pa.array(who[first : first + step] + low)
+                    yield pa.record_batch(
+                        [batch.column(0).take(at), batch.column(1).take(at), pa.array(names[place[first : first + step]])],
+                        ["row", "x", "slice"],
+                    )
 
-    return points.mapInArrow(spread, "row long, x array<double>, group long")
+    return points.mapInArrow(spread, "row long, x array<double>, slice long")
 
 
-def _nearest(points: pa.Table, centroids: pa.Table) -> pa.Table:
-    """Each point's nearest centroid of one group, the lowest id of equally near ones."""
+def _nearest(pivots: np.ndarray, radius: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Each point's nearest centroid in one slice, the lowest id of equally near ones.
+
+    A point is compared with the groups that may hold its nearest, one group at a time.
+    """
     schema = pa.schema([("row", pa.int64()), ("distance", pa.float64()), ("cid", pa.int64())])
-    if not points.num_rows or not centroids.num_rows:
-        return schema.empty_table()
-    centroids = centroids.sort_by("cid")
-    width = len(centroids["c"][0])
-    x, c, cid = _matrix(points["x"], width), _matrix(centroids["c"], width), centroids["cid"].to_numpy()
-    best, place = np.full(len(x), np.inf), np.zeros(len(x), dtype=np.int64)
-    step = 1024
-    rows = max(1, BLOCK // step)
-    for low in range(0, len(x), rows):
-        for first in range(0, len(c), step):
-            distances = square_distances(x[low : low + rows], c[first : first + step])
-            near = distances.argmin(axis=1)
-            least = distances[np.arange(len(near)), near]
-            closer = least < best[low : low + rows]
-            best[low : low + rows][closer] = least[closer]
-            place[low : low + rows][closer] = near[closer] + first
-    return pa.table([points["row"], best, cid[place]], schema=schema)
+    width, none = pivots.shape[1], np.iinfo(np.int64).max
+
+    def nearest(points: pa.Table, centroids: pa.Table) -> pa.Table:
+        if not points.num_rows or not centroids.num_rows:
+            return schema.empty_table()
+        centroids = centroids.sort_by([("group", "ascending"), ("cid", "ascending")])
+        x, c, cid = _matrix(points["x"], width), _matrix(centroids["c"], width), centroids["cid"].to_numpy()
+        groups, firsts = np.unique(centroids["group"].to_numpy(), return_index=True)
+        ends = np.append(firsts[1:], len(c))
+        best, found = np.full(len(x), np.inf), np.full(len(x), none)
+        rows = max(1, BLOCK // max(len(pivots), STEP))
+        for low in range(0, len(x), rows):
+            part = x[low : low + rows]
+            may = _may_hold(part, pivots, radius)[:, groups]
+            for at, (begin, end) in enumerate(zip(firsts, ends, strict=True)):
+                who = np.flatnonzero(may[:, at])
+                for first in range(begin, end if len(who) else begin, STEP):
+                    between = square_distances(part[who], c[first : min(end, first + STEP)])
+                    near = between.argmin(axis=1)
+                    least, own = between[np.arange(len(near)), near], cid[near + first]
+                    closer = (least < best[low + who]) | ((least == best[low + who]) & (own < found[low + who]))
+                    best[low + who[closer]], found[low + who[closer]] = least[closer], own[closer]
+        met = found < none
+        return pa.table([points["row"].filter(pa.array(met)), best[met], found[met]], schema=schema)
+
+    return nearest
+
+
+def _slices(sizes: dict[int, int], most: int) -> list[tuple[int, int, int]]:
+    """``(group, slice, cuts)``: small groups share a slice, a large one is cut over several."""
+    dealt, at, held = [], 0, 0
+    for group, size in sorted(sizes.items()):
+        cuts = math.ceil(size / most)
+        if held and held + size > most:
+            at, held = at + 1, 0
+        dealt.append((group, at, cuts))
+        at, held = (at + cuts, 0) if cuts > 1 else (at, held + size)
+    return dealt
 
 
 def assign_nearest_many(points: DataFrame, centroids: DataFrame, x: Column, valid: Column) -> DataFrame:
     """Add ``cid``, the nearest of any number of centroids, ties to the lowest id; null if not valid.
 
-    The points are stored with a number each. Only the pivots, no more than ``MOST_PIVOTS``, and a
-    count for each of them pass through the driver. Points of a popular group are dealt over tasks.
+    The points are stored with a number each. Only the pivots, no more than ``MOST_PIVOTS``, and two
+    numbers for each of them pass through the driver. Parts of the points meet slices of the groups, one
+    pair in a task at a time, so a task holds no more than ``TASK_VALUES`` of each, however popular a
+    group is or however many groups may hold a point's nearest.
     """
     known = materialize(centroids.select(F.col("cid").cast("long").alias("cid"), "c"), "centroids")
     sizes = known.agg(
@@ -117,25 +161,37 @@ def assign_nearest_many(points: DataFrame, centroids: DataFrame, x: Column, vali
     pivots = np.array([row["c"] for row in drawn], dtype=np.float64).reshape(n, sizes["most"])
     grouped = materialize(_grouped(known, pivots), "grouped-centroids")
     radius = np.full(n, -np.inf)  # a pivot without centroids, the copy of another, has no group
-    for row in grouped.groupBy("group").agg(F.max("reach").alias("radius")).collect():
-        radius[row["group"]] = row["radius"]
+    held = {}
+    for row in grouped.groupBy("group").agg(F.max("reach").alias("radius"), F.count(F.lit(1)).alias("size")).collect():
+        radius[row["group"]], held[row["group"]] = row["radius"], row["size"]
+    most = max(1, TASK_VALUES // max(1, sizes["most"]))
+    dealt = _slices(held, most)
+    slices = np.zeros(n, dtype=np.int64)
+    for group, first, _ in dealt:
+        slices[group] = first
     number, own = spare_name(points, "number"), spare_name(points, "x")
     stored = materialize(
         points.withColumns({number: F.monotonically_increasing_id(), own: F.when(valid, x.cast("array<double>"))}), "points"
     )
     asked = stored.filter(F.col(own).isNotNull()).select(F.col(number).alias("row"), F.col(own).alias("x"))
-    candidates = materialize(_candidates(asked, pivots, radius), "candidates")
+    slots = points.sparkSession.sparkContext.defaultParallelism
+    rows = asked.count()
+    parts = max(1, math.ceil(rows / min(most, TASK_POINTS)), min(3 * slots, rows // FEW_POINTS))
     # one row for each pivot
-    parts = candidates.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / TASK_POINTS).alias("parts"))
-    dealt = candidates.join(F.broadcast(parts), "group").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
-    met = grouped.join(F.broadcast(parts), "group").withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    places = points.sparkSession.createDataFrame(dealt, "group long, first long, cuts int")
+    cut = (F.col("first") + F.pmod(F.xxhash64("cid"), F.col("cuts"))).alias("slice")
+    cuts = places.groupBy(F.col("first").alias("slice")).agg(F.max("cuts").alias("cuts"))
+    left = _candidates(asked, pivots, radius, slices).join(F.broadcast(cuts), "slice").select(
+        F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part"),
+        F.explode(F.sequence(F.col("slice"), F.col("slice") + F.col("cuts") - 1)).alias("slice"), "row", "x",
+    )
+    right = grouped.join(F.broadcast(places), "group").select(
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), cut, "group", "cid", "c"
     )
     found = (
-        dealt.select("group", "part", "row", "x")
-        .groupBy("group", "part")
-        .cogroup(met.select("group", "part", "cid", "c").groupBy("group", "part"))
-        .applyInArrow(_nearest, "row long, distance double, cid long")
+        left.groupBy("part", "slice")
+        .cogroup(right.groupBy("part", "slice"))
+        .applyInArrow(_nearest(pivots, radius), "row long, distance double, cid long")
     )
     best = found.groupBy("row").agg(F.min(F.struct("distance", "cid")).alias("best"))
     answer = best.select(F.col("row").alias(number), F.col("best.cid").cast("int").alias("cid"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +183,32 @@ def test_most_groups_are_left_out(spark):
     radius = np.array([np.sqrt(((centres[near == g] - pivots[g]) ** 2).sum(axis=1)).max() for g in range(45)])
     df = spark.createDataFrame([(k, [float(v) for v in centres[k]]) for k in range(2000)], "row long, x array<double>")
     assert many_centroids._candidates(df, pivots, radius).count() < 2000 * 15
+
+
+@pytest.mark.parametrize("values", [9, 120, 1 << 20])
+def test_a_task_meets_bounded_parts_and_slices(spark, monkeypatch, values):
+    """However many groups may hold a point's nearest, and however large one is; half of all centroids are one place."""
+    monkeypatch.setattr(many_centroids, "TASK_VALUES", values)
+    rng = np.random.default_rng(6)
+    centres = np.round(rng.normal(0, 1, (60, 3)), 2)
+    centres[30:] = centres[2]
+    points = np.round(rng.normal(0, 1, (50, 3)), 2)
+    table = spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(centres)], "cid int, c array<double>")
+    df = spark.createDataFrame([(k, [float(v) for v in p]) for k, p in enumerate(points)], "id int, x array<double>")
+    expected = {k: int(((p - centres) ** 2).sum(axis=1).argmin()) for k, p in enumerate(points)}
+    assert {r.id: r.cid for r in C.assign_nearest(df, table, most_literal=10).collect()} == expected
+
+
+def test_batches_of_candidates_are_bounded(monkeypatch):
+    """Every group may hold the nearest of every point; no batch holds more than ``TASK_VALUES`` of their numbers."""
+    monkeypatch.setattr(many_centroids, "TASK_VALUES", 60)
+
+    class Points:
+        def mapInArrow(self, kernel, schema):
+            rows = pa.array(range(40), pa.int64())
+            x = pa.array([[float(k), 1.0, 2.0] for k in range(40)], pa.list_(pa.float64()))
+            return list(kernel(iter([pa.record_batch([rows, x], ["row", "x"])])))
+
+    pivots = np.array([[float(k), 0.0, 0.0] for k in range(10)])
+    batches = many_centroids._candidates(Points(), pivots, np.full(10, 1e3))
+    assert sum(b.num_rows for b in batches) == 400 and max(b.num_rows for b in batches) == 20
