@@ -27,6 +27,8 @@ from tallywright.operators.evaluation import regression_scores
 from tallywright.operators.sampling import split_by_hash
 from tallywright.session import ensure_checkpointing, materialize, stored
 
+#: Feature bins, of four bytes each, that a task of a forest holds; rows that one of a regression reads.
+FOREST_BINS, LOGISTIC_ROWS = 1 << 26, 10_000
 #: Users and items of a block of factors that a task multiplies.
 BLOCK = 2_048
 RATING_KEY = ("userId", "movieId")
@@ -194,16 +196,17 @@ def fit_logistic(
     """L2 logistic regression. ``strength`` is C in ``C * summed loss + |w|^2 / 2``.
 
     MLlib minimises the *mean* loss, hence the penalty ``1 / (C * rows)``. The training rows are
-    stored for the fit.
+    stored for the fit and dealt over tasks of ``LOGISTIC_ROWS``, as each step passes over all of them.
     """
     with stored(train.select(label, features), "training") as rows:
+        count = rows.count()
         return LogisticRegression(
             labelCol=label,
             featuresCol=features,
-            regParam=1.0 / (strength * rows.count()),
+            regParam=1.0 / (strength * count),
             elasticNetParam=0.0,
             standardization=False,
-        ).fit(rows)
+        ).fit(_dealt(rows, count, LOGISTIC_ROWS))
 
 
 def fit_random_forest(
@@ -216,10 +219,13 @@ def fit_random_forest(
 ) -> RandomForestClassificationModel:
     """Random forest; depth is bounded (30 at most), trees use a root share of the features.
 
-    The training rows are stored for the fit.
+    The training rows are stored for the fit, which holds a bin for every feature of every row, zero
+    or not; they are dealt over as many tasks as keep that within ``FOREST_BINS`` for each.
     """
     ensure_checkpointing(train.sparkSession)
     with stored(train.select(label, features), "training") as rows:
+        first = rows.select(features).first()
+        width = first[0].size if first and first[0] is not None else 1
         return RandomForestClassifier(
             labelCol=label,
             featuresCol=features,
@@ -228,7 +234,16 @@ def fit_random_forest(
             seed=seed,
             featureSubsetStrategy="sqrt",
             cacheNodeIds=True,
-        ).fit(rows)
+        ).fit(_dealt(rows, rows.count(), max(1, FOREST_BINS // max(1, width))))
+
+
+def _dealt(rows: DataFrame, count: int, most: int) -> DataFrame:
+    """The rows dealt evenly over all task slots, and no more than about ``most`` to a task; so few rows stay.
+
+    Stored rows are split by their packed size, which says little about what a fit makes of them.
+    """
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(slots, math.ceil(count / most))) if count > most else rows
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:

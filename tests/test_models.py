@@ -1,4 +1,5 @@
 import math
+from contextlib import nullcontext
 from pathlib import Path
 
 import numpy as np
@@ -101,6 +102,29 @@ def test_training_rows_are_read_once_and_deleted(spark):
     assert left == []
 
 
+@pytest.mark.parametrize("fit,name,most", [(models.fit_logistic, "LOGISTIC_ROWS", 50), (models.fit_random_forest, "FOREST_BINS", 50)])
+def test_training_rows_are_dealt_by_number(spark, monkeypatch, fit, name, most):
+    """A table stored in one small file goes to as many tasks as its rows ask for, evenly; a small one stays."""
+    seen = []
+    dealt = models._dealt
+
+    def watched(*given):
+        seen.append(dealt(*given))
+        return seen[-1]
+
+    monkeypatch.setattr(models, "_dealt", watched)
+    df = spark.range(1200).select((F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 7).cast("double").alias("x"))
+    train = VectorAssembler(inputCols=["x"], outputCol="features").transform(df).coalesce(1)
+    sizes = lambda: seen[-1].groupBy(F.spark_partition_id()).count().collect()
+    with monkeypatch.context() as m:
+        m.setattr(models, "stored", lambda rows, _: nullcontext(rows))
+        fit(train, "label")
+        assert len(sizes()) == 1
+        m.setattr(models, name, most)
+        fit(train, "label")
+        assert len(sizes()) == 24 and max(r["count"] for r in sizes()) <= 1.2 * most
+
+
 def test_stored_tables_can_be_discarded(spark):
     table = materialize(spark.range(5), "kept-for-now")
     assert table.count() == 5
