@@ -84,13 +84,16 @@ def tune_als(
     grid: Mapping[str, Sequence[float]] | None = None,
     folds: int = 3,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     blocks: int | None = None,
 ) -> CrossValidatorModel:
     """Grid search by cross-validation; lowest RMSE wins. Default grid: all 27 settings.
 
-    Folds follow a hash of user and item, so they do not depend on the partitioning.
+    Folds follow a hash of user and item, so they do not depend on the partitioning. ``parallelism``
+    is the number of settings fitted side by side, by default one for each task slot, at least 4: a
+    fit is many short stages, and others fill the slots that a stage leaves idle.
     """
+    slots = train.sparkSession.sparkContext.defaultParallelism
     als = _als(train, seed, blocks)
     builder = ParamGridBuilder()
     for name, values in (grid or FULL_GRID).items():
@@ -105,7 +108,7 @@ def tune_als(
         numFolds=folds,
         foldCol="fold",
         seed=seed,
-        parallelism=parallelism,
+        parallelism=parallelism or max(4, slots),
     )
     return search.fit(train.withColumn("fold", fold))
 

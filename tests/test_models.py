@@ -135,6 +135,16 @@ def test_stored_tables_can_be_discarded(spark):
     assert not [p for p in Path(shared_dir(spark)).iterdir() if p.name.startswith("for-a-block")]
 
 
+def test_settings_are_fitted_side_by_side(ratings, monkeypatch):
+    """One setting for each task slot by default; the number changes no error."""
+    used, build = [], models.CrossValidator
+    monkeypatch.setattr(models, "CrossValidator", lambda **given: used.append(given["parallelism"]) or build(**given))
+    grid = {"rank": [2], "regParam": [0.1, 5.0], "maxIter": [2]}
+    wide, narrow = (models.tune_als(ratings, grid, folds=2, **given) for given in ({}, {"parallelism": 1}))
+    assert used == [max(4, ratings.sparkSession.sparkContext.defaultParallelism), 1]
+    assert np.allclose(wide.avgMetrics, narrow.avgMetrics, rtol=1e-9)
+
+
 def test_full_grid_has_27_settings():
     assert math.prod(map(len, models.FULL_GRID.values())) == 27
 
