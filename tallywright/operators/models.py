@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tallywright.functions.hashing import hash_number, hash_text
 from tallywright.operators.evaluation import regression_scores
+from tallywright.operators.grid_search import fold_errors
 from tallywright.operators.sampling import split_by_hash
 from tallywright.session import ensure_checkpointing, materialize, stored
 
@@ -89,9 +90,11 @@ def tune_als(
 ) -> CrossValidatorModel:
     """Grid search by cross-validation; lowest RMSE wins. Default grid: all 27 settings.
 
-    Folds follow a hash of user and item, so they do not depend on the partitioning. ``parallelism``
-    is the number of settings fitted side by side, by default one for each task slot, at least 4: a
-    fit is many short stages, and others fill the slots that a stage leaves idle.
+    Folds follow a hash of user and item, so they do not depend on the partitioning. Ratings that fit
+    in a task are searched by :func:`fold_errors`, whole fits side by side; the winner is fitted by
+    ``ALS``. Others are left to ``CrossValidator``: ``parallelism`` is the number of settings fitted
+    side by side, by default one for each task slot, at least 4: a fit is many short stages, and
+    others fill the slots that a stage leaves idle.
     """
     slots = train.sparkSession.sparkContext.defaultParallelism
     als = _als(train, seed, blocks)
@@ -99,9 +102,10 @@ def tune_als(
     for name, values in (grid or FULL_GRID).items():
         builder = builder.addGrid(als.getParam(name), list(values))
     fold = F.pmod(hash_number(hash_text(RATING_KEY), 8), F.lit(folds)).cast("int")
+    settings = builder.build()
     search = CrossValidator(
         estimator=als,
-        estimatorParamMaps=builder.build(),
+        estimatorParamMaps=settings,
         evaluator=RegressionEvaluator(
             metricName="rmse", labelCol="rating", predictionCol="prediction"
         ),
@@ -110,7 +114,14 @@ def tune_als(
         seed=seed,
         parallelism=parallelism or max(4, slots),
     )
-    return search.fit(train.withColumn("fold", fold))
+    dealt = train.withColumn("fold", fold)
+    with stored(dealt.select(*RATING_KEY, "rating", "fold"), "search") as rows:
+        errors = fold_errors(als, settings, rows, folds, search.getParallelism())
+    if errors is None:
+        return search.fit(dealt)
+    mean, spread = errors.mean(axis=0), errors.std(axis=0)
+    best = als.fit(dealt, settings[int(mean.argmin())])
+    return search._copyValues(CrossValidatorModel(best, mean.tolist(), stdMetrics=spread.tolist()))
 
 
 def search_table(search: CrossValidatorModel) -> DataFrame:

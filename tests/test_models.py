@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tallywright.operators import evaluation, models, sampling
+from tallywright.operators import evaluation, grid_search, models, sampling
 from tallywright.plans import inputs, studies
 from tallywright.session import discard_stored, materialize, shared_dir, stored
 
@@ -145,6 +145,41 @@ def test_settings_are_fitted_side_by_side(ratings, monkeypatch):
     assert np.allclose(wide.avgMetrics, narrow.avgMetrics, rtol=1e-9)
 
 
+def test_search_in_tasks_equals_cross_validation(spark, ratings, monkeypatch):
+    """Every error and deviation, the winner and its factors; repeated pairs, lone and rare users and items are among the rows."""
+    odd = [(7, 3, 2.5), (7, 3, 4.0), (70_001, 3, 5.0), (70_001, 5, 1.5), (70_002, 90_001, 1.0), (-5, 4, 0.0)]
+    rows = ratings.union(spark.createDataFrame(odd, "userId int, movieId int, rating double"))
+    grid = {"rank": [12, 1], "regParam": [0.05, 2.0], "maxIter": [3, 1]}
+    own = models.tune_als(rows, grid, folds=2)
+    with monkeypatch.context() as m:
+        m.setattr(grid_search, "TASK_VALUES", 1)
+        other = models.tune_als(rows, grid, folds=2)
+    assert len(own.avgMetrics) == 8 and np.allclose(own.avgMetrics, other.avgMetrics, rtol=1e-5)
+    assert np.allclose(own.stdMetrics, other.stdMetrics, rtol=1e-3, atol=1e-6)
+    assert models.best_params(own) == pytest.approx(models.best_params(other), rel=1e-5)
+    x, y = ({r.id: r.features for r in s.bestModel.userFactors.collect()} for s in (own, other))
+    assert x.keys() == y.keys() and all(np.allclose(x[k], y[k], rtol=1e-4, atol=1e-5) for k in x)
+    assert models.search_table(own).count() == 8
+
+
+def test_a_search_fits_once_for_all_iterations_and_penalties(ratings, monkeypatch):
+    """``ALS`` runs once for each fold and rank, without iterations, and once for the winner."""
+    fitted, fit = [], models.ALS._fit
+    monkeypatch.setattr(models.ALS, "_fit", lambda als, df: fitted.append((als.getRank(), als.getMaxIter())) or fit(als, df))
+    search = models.tune_als(ratings, {"rank": [2, 3], "regParam": [0.1, 5.0], "maxIter": [1, 2]}, folds=2)
+    best = models.best_params(search)
+    assert sorted(fitted[:-1]) == [(2, 0)] * 2 + [(3, 0)] * 2 and fitted[-1] == (best["rank"], best["maxIter"])
+
+
+def test_rows_that_no_fit_takes_are_refused_as_before(spark, ratings):
+    for rows in ([(1, None, 3.0)], [(1, 2, None)], [(1, 2, float("nan"))]):
+        odd = ratings.union(spark.createDataFrame(rows, "userId int, movieId int, rating double"))
+        with pytest.raises(Exception, match="(?i)null|nan|fold"):
+            models.tune_als(odd, {"rank": [1], "regParam": [0.1], "maxIter": [1]}, folds=2)
+    with pytest.raises(ValueError, match="empty"):
+        models.tune_als(ratings.limit(1), {"rank": [1], "regParam": [0.1], "maxIter": [1]}, folds=2)
+
+
 def test_full_grid_has_27_settings():
     assert math.prod(map(len, models.FULL_GRID.values())) == 27
 
