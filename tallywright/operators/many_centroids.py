@@ -4,7 +4,8 @@ Centroids are grouped around pivots, some of themselves. A point's distance to a
 radius of the pivot's group bound its distance to every centroid of the group, by the triangle
 inequality, so most groups cannot hold its nearest centroid. The point meets the centroids of the
 others, slice by slice of the groups, and the least distance over the slices is the answer, as exact
-as a comparison with all centroids.
+as a comparison with all centroids: products of matrices in single precision leave out the centroids
+that their error bound rules out, and the few others are compared number by number.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ from tallywright.session import materialize
 
 #: Most pivots, which every task holds; most points that a task compares, and most numbers in them, or in
 #: the centroids it compares them with.
-MOST_PIVOTS, TASK_POINTS, TASK_VALUES = 1_000, 50_000, 1 << 20
-#: Sums made at once; centroids met at once; points for which a further task is worth its start.
-BLOCK, STEP, FEW_POINTS = 1 << 19, 512, 250
-#: Share by which a bound may be off through rounding.
-SLACK = 1e-9
+MOST_PIVOTS, TASK_POINTS, TASK_VALUES = 1_000, 50_000, 1 << 22
+#: Products made at once; centroids met at once; points for which a further task is worth its start.
+BLOCK, STEP, FEW_POINTS = 1 << 20, 512, 250
+#: Share by which a bound may be off through rounding; what single and double precision may lose through underflow.
+SLACK, LEAST, TINY = 1e-9, 1e-36, 1e-300
 
 
 def square_distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -59,12 +60,29 @@ def _grouped(centroids: DataFrame, pivots: np.ndarray) -> DataFrame:
     return centroids.select("cid", "c").mapInArrow(group, "group long, cid long, c array<double>, reach double")
 
 
+def _off(width: int, unit: float, lengths: np.ndarray) -> np.ndarray:
+    """How far squared distances by products may be off; ``lengths`` are those of both sides added up."""
+    return 2 * (width + 8) * unit * lengths * lengths
+
+
+def _reach(part: np.ndarray, pivots: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least distance that each point may have to the centroids of each group, and a bound of that to its nearest.
+
+    Every pivot is a centroid, so that no point's nearest is farther than a pivot.
+    """
+    middle = pivots.mean(axis=0)
+    x, p = part - middle, pivots - middle
+    xx, pp = (x * x).sum(axis=1)[:, None], (p * p).sum(axis=1)[None, :]
+    square = xx + pp - 2 * (x @ p.T)
+    off = _off(x.shape[1], 2.0**-50, np.sqrt(xx) + np.sqrt(pp) + np.abs(middle).max(initial=0.0)) + TINY
+    nearest = np.sqrt(np.maximum(square + off, 0)).min(axis=1) * (1 + SLACK)
+    return (np.sqrt(np.maximum(square - off, 0)) - radius) * (1 - SLACK), nearest
+
+
 def _may_hold(part: np.ndarray, pivots: np.ndarray, radius: np.ndarray) -> np.ndarray:
     """Which groups may hold the nearest centroid of each point."""
-    distances = np.sqrt(square_distances(part, pivots))
-    # some centroid of a group is no farther than its pivot and radius together
-    most = (distances + np.where(radius < 0, np.inf, radius)).min(axis=1) * (1 + SLACK)
-    return (distances - radius) * (1 - SLACK) <= most[:, None]
+    least, most = _reach(part, pivots, radius)
+    return least <= most[:, None]
 
 
 def _candidates(points: DataFrame, pivots: np.ndarray, radius: np.ndarray, slices: np.ndarray | None = None) -> DataFrame:
@@ -93,10 +111,27 @@ def _candidates(points: DataFrame, pivots: np.ndarray, radius: np.ndarray, slice
     return points.mapInArrow(spread, "row long, x array<double>, slice long")
 
 
+def _first_of_equal(c: np.ndarray) -> np.ndarray:
+    """The places of the first of each set of equal rows, in their order."""
+    rows = np.ascontiguousarray(c + 0.0).view(f"V{c.shape[1] * 8}").ravel()  # -0.0 as 0.0
+    return np.sort(np.unique(rows, return_index=True)[1])
+
+
+def _runs(groups: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Up to ``STEP`` centroids met at once: the first and last of their groups, by place, and of themselves."""
+    firsts = np.append(np.flatnonzero(np.diff(groups, prepend=-1)), len(groups))
+    at = 0
+    while at < len(firsts) - 1:
+        last = max(at + 1, int(np.searchsorted(firsts, firsts[at] + STEP, side="right")) - 1)
+        for begin in range(firsts[at], firsts[last], STEP):
+            yield at, last, begin, min(begin + STEP, firsts[last])
+        at = last
+
+
 def _nearest(pivots: np.ndarray, radius: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Each point's nearest centroid in one slice, the lowest id of equally near ones.
 
-    A point is compared with the groups that may hold its nearest, one group at a time.
+    A point is compared with the groups that may hold its nearest, and has none where none may.
     """
     schema = pa.schema([("row", pa.int64()), ("distance", pa.float64()), ("cid", pa.int64())])
     width, none = pivots.shape[1], np.iinfo(np.int64).max
@@ -105,22 +140,69 @@ def _nearest(pivots: np.ndarray, radius: np.ndarray) -> Callable[[pa.Table, pa.T
         if not points.num_rows or not centroids.num_rows:
             return schema.empty_table()
         centroids = centroids.sort_by([("group", "ascending"), ("cid", "ascending")])
-        x, c, cid = _matrix(points["x"], width), _matrix(centroids["c"], width), centroids["cid"].to_numpy()
-        groups, firsts = np.unique(centroids["group"].to_numpy(), return_index=True)
-        ends = np.append(firsts[1:], len(c))
+        x, c = _matrix(points["x"], width), _matrix(centroids["c"], width)
+        kept = _first_of_equal(c)  # equal ones are of one group, where the lowest id comes first
+        c, cid, group = c[kept], centroids["cid"].to_numpy()[kept], centroids["group"].to_numpy()[kept]
+        groups, runs = np.unique(group), list(_runs(group))
+        middle = pivots.mean(axis=0)
+        # numbers up to 1, whose squares are in the range of single precision; the error of a difference
+        scale = max(np.abs(x - middle).max(), np.abs(c - middle).max()) or 1.0
+        shift = 2.0**-50 * width * max(np.abs(x).max(), np.abs(c).max(), np.abs(middle).max()) / scale
+
+        def sides(rows: np.ndarray, first: float) -> tuple[np.ndarray, np.ndarray]:
+            near = (rows - middle) / scale
+            square = (near * near).sum(axis=1)
+            own, one = (square, np.ones(len(rows))) if first < 0 else (np.ones(len(rows)), square)
+            return np.column_stack([near * first, own, one]).astype(np.float32), np.sqrt(square)
+
+        right, long = sides(c, -2.0)
         best, found = np.full(len(x), np.inf), np.full(len(x), none)
         rows = max(1, BLOCK // max(len(pivots), STEP))
         for low in range(0, len(x), rows):
             part = x[low : low + rows]
-            may = _may_hold(part, pivots, radius)[:, groups]
-            for at, (begin, end) in enumerate(zip(firsts, ends, strict=True)):
-                who = np.flatnonzero(may[:, at])
-                for first in range(begin, end if len(who) else begin, STEP):
-                    between = square_distances(part[who], c[first : min(end, first + STEP)])
-                    near = between.argmin(axis=1)
-                    least, own = between[np.arange(len(near)), near], cid[near + first]
-                    closer = (least < best[low + who]) | ((least == best[low + who]) & (own < found[low + who]))
-                    best[low + who[closer]], found[low + who[closer]] = least[closer], own[closer]
+            left, own = sides(part, 1.0)
+            least, most = _reach(part, pivots, radius)
+            least, most = np.maximum(least[:, groups], 0) / scale, (most / scale) ** 2 * (1 + SLACK)
+            waiting: list[tuple[np.ndarray, ...]] = []
+
+            def settle() -> None:
+                """Compare what waits number by number."""
+                who, which, under = (np.concatenate(each) for each in zip(*waiting, strict=True))
+                still = under <= most[who]
+                who, which = who[still], which[still]
+                total = np.zeros(len(who))
+                size = max(1, BLOCK // width)
+                for first in range(0, len(who), size):
+                    some = slice(first, first + size)
+                    for step in (part[who[some]] - c[which[some]]).T:  # in the order of the dimensions
+                        total[some] += step * step
+                order = np.lexsort((cid[which], total, who))
+                order = order[np.flatnonzero(np.diff(who[order], prepend=-1))]
+                who, total, ids = who[order], total[order], cid[which[order]]
+                at = low + who
+                closer = (total < best[at]) | ((total == best[at]) & (ids < found[at]))
+                best[at[closer]], found[at[closer]] = total[closer], ids[closer]
+                most[who] = np.minimum(most[who], (np.sqrt(total + TINY) / scale) ** 2 * (1 + SLACK) + LEAST)
+                waiting.clear()
+
+            for from_group, to_group, begin, end in runs:
+                reach = least[:, from_group:to_group].min(axis=1)
+                who = np.flatnonzero(reach * reach * (1 - SLACK) <= most)
+                if not len(who):
+                    continue
+                rough = (left if len(who) == len(part) else left[who]) @ right[begin:end].T
+                lengths = own[who] + long[begin:end].max()
+                off = _off(width, 2.0**-24, lengths) + 4 * shift * (lengths + shift) + LEAST
+                nearest_rough = rough.min(axis=1)
+                close = np.flatnonzero(nearest_rough - off <= most[who])
+                most[who] = np.minimum(most[who], nearest_rough + off)
+                row, column = np.nonzero(rough[close] <= (most[who[close]] + off[close])[:, None])
+                if len(row):
+                    waiting.append((who[close[row]], begin + column, rough[close[row], column] - off[close[row]]))
+                if sum(len(each[0]) for each in waiting) > BLOCK:
+                    settle()
+            if waiting:
+                settle()
         met = found < none
         return pa.table([points["row"].filter(pa.array(met)), best[met], found[met]], schema=schema)
 
@@ -169,14 +251,14 @@ def assign_nearest_many(points: DataFrame, centroids: DataFrame, x: Column, vali
     slices = np.zeros(n, dtype=np.int64)
     for group, first, _ in dealt:
         slices[group] = first
-    number, own = spare_name(points, "number"), spare_name(points, "x")
-    stored = materialize(
-        points.withColumns({number: F.monotonically_increasing_id(), own: F.when(valid, x.cast("array<double>"))}), "points"
-    )
-    asked = stored.filter(F.col(own).isNotNull()).select(F.col(number).alias("row"), F.col(own).alias("x"))
+    number = spare_name(points, "number")
+    stored = materialize(points.withColumn(number, F.monotonically_increasing_id()), "points")
+    asked = stored.filter(valid).select(F.col(number).alias("row"), x.cast("array<double>").alias("x"))
     slots = points.sparkSession.sparkContext.defaultParallelism
     rows = asked.count()
-    parts = max(1, math.ceil(rows / min(most, TASK_POINTS)), min(3 * slots, rows // FEW_POINTS))
+    count = max(first + cuts for _, first, cuts in dealt)
+    parts = max(1, math.ceil(rows / min(most, TASK_POINTS)), min(math.ceil(3 * slots / count), rows // FEW_POINTS))
+    tasks = parts * count
     # one row for each pivot
     places = points.sparkSession.createDataFrame(dealt, "group long, first long, cuts int")
     cut = (F.col("first") + F.pmod(F.xxhash64("cid"), F.col("cuts"))).alias("slice")
@@ -189,8 +271,8 @@ def assign_nearest_many(points: DataFrame, centroids: DataFrame, x: Column, vali
         F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), cut, "group", "cid", "c"
     )
     found = (
-        left.groupBy("part", "slice")
-        .cogroup(right.groupBy("part", "slice"))
+        left.repartition(tasks, "part", "slice").groupBy("part", "slice")
+        .cogroup(right.repartition(tasks, "part", "slice").groupBy("part", "slice"))
         .applyInArrow(_nearest(pivots, radius), "row long, distance double, cid long")
     )
     best = found.groupBy("row").agg(F.min(F.struct("distance", "cid")).alias("best"))

@@ -212,3 +212,29 @@ def test_batches_of_candidates_are_bounded(monkeypatch):
     pivots = np.array([[float(k), 0.0, 0.0] for k in range(10)])
     batches = many_centroids._candidates(Points(), pivots, np.full(10, 1e3))
     assert sum(b.num_rows for b in batches) == 400 and max(b.num_rows for b in batches) == 20
+
+
+@pytest.mark.parametrize("offset,scale", [(0, 1), (1e6, 1), (-3e3, 1e-30), (0, 1e30), (0, 1e-100)])
+def test_products_leave_the_nearest_in(monkeypatch, offset, scale):
+    """Not all pairs are compared number by number, yet the nearest is exact: far from zero, tiny, huge, equal, nearly equal."""
+    rng = np.random.default_rng(8)
+    c = rng.normal(0, 1, (900, 5))
+    c[300:500] = c[7]
+    c[500:700] = c[8] + rng.normal(0, 1e-9, (200, 5))
+    x = np.concatenate([rng.normal(0, 1, (300, 5)), c[5:12], c[8] + rng.normal(0, 1e-9, (40, 5)), [[1e4] * 5]])
+    x, c = (np.ascontiguousarray(side + offset) * scale for side in (x, c))
+    pivots = c[[0, 7, 8, 20, 21, 22]]
+    every = many_centroids.square_distances(c, pivots)
+    group = every.argmin(axis=1)
+    radius = np.array([np.sqrt(every[group == k, k]).max(initial=-np.inf) for k in range(6)])
+    ids = rng.permutation(900)
+    between = many_centroids.square_distances(x, c)
+    expected = [int(min(zip(row.tolist(), ids.tolist(), strict=True))[1]) for row in between]
+    monkeypatch.setattr(many_centroids, "square_distances", None)
+    points = pa.table({"row": range(len(x)), "x": x.tolist()})
+    centroids = pa.table({"group": group, "cid": ids, "c": c.tolist()})
+    for block in (1 << 20, 3_000):  # in one step, and compared part by part
+        monkeypatch.setattr(many_centroids, "BLOCK", block)
+        found = many_centroids._nearest(pivots, radius)(points, centroids).to_pydict()
+        assert found["row"] == list(range(len(x))) and found["cid"] == expected
+        assert found["distance"] == between.min(axis=1).tolist()
